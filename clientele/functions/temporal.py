@@ -1,5 +1,7 @@
 """Date and time expressions. Everything is zone-less, so no result depends on the session zone."""
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,12 +13,8 @@ SERIAL_MIN, SERIAL_MAX = -81182, 132320
 def serial_to_timestamp(c: Column) -> Column:
     """Spreadsheet serial day (fraction = time of day) to timestamp; unusable input gives null."""
     days = c.try_cast("double")
-    usable = F.when(days.between(SERIAL_MIN, SERIAL_MAX), days)
-    whole = F.floor(usable).cast("int")
-    seconds = F.round((usable - F.floor(usable)) * 86400, 3).cast("decimal(18,6)")
-    midnight = F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), whole).cast("timestamp_ntz")
-    zero = F.lit(0)
-    return midnight + F.make_dt_interval(zero, zero, zero, seconds)
+    seconds = F.when(days.between(SERIAL_MIN, SERIAL_MAX), F.round(days * 86400, 3))
+    return F.lit(SERIAL_ORIGIN).cast("timestamp_ntz") + F.lit(timedelta(seconds=1)) * seconds
 
 
 def lenient_timestamp(c: Column) -> Column:
@@ -27,6 +25,12 @@ def lenient_timestamp(c: Column) -> Column:
     return bare.try_cast("timestamp_ntz")
 
 
+def whole_seconds(c: Column) -> Column:
+    """A timestamp without its fraction of a second."""
+    second = F.extract(F.lit("SECOND"), c)
+    return c - F.lit(timedelta(seconds=1)) * (second - F.floor(second))
+
+
 def hour_boundaries(start: Column, end: Column) -> Column:
     """Number of clock-hour boundaries crossed: 10:59 to 12:01 is 2."""
     return F.datediff(end, start) * 24 + F.hour(end) - F.hour(start)

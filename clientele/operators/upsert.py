@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,50 +21,56 @@ INSERT, UPDATE = "insert", "update_postimage"
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A keyed table: business key, surrogate, cleansed columns, created / updated stamps.
+    """A keyed table: business key, columns, and optionally a surrogate and two stamps.
 
-    `when_changed`: update only where one of these columns differs; None updates every match.
-    `created_from`: source column for the created stamp of an insert; None takes the merge time.
+    `when_changed`: update only where one of these columns differs; None updates every match, ()
+    none. `created_from`: source column for the created stamp of an insert; None takes the merge
+    time.
     """
 
     key: str
-    surrogate: str
     columns: T.StructType
-    stamps: tuple[str, str]
+    surrogate: str | None = None
+    stamps: tuple[str, ...] = ()
     when_changed: tuple[str, ...] | None = None
     created_from: str | None = None
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType(
-            [
-                T.StructField(self.surrogate, T.LongType()),
-                *self.columns.fields,
-                *[T.StructField(s, T.TimestampNTZType()) for s in self.stamps],
-            ]
-        )
+        surrogate = [T.StructField(self.surrogate, T.LongType())] if self.surrogate else []
+        stamps = [T.StructField(s, T.TimestampNTZType()) for s in self.stamps]
+        return T.StructType([*surrogate, *self.columns.fields, *stamps])
 
 
-def _spec(feed: str, **options) -> TableSpec:
+def _silver(feed: str, **options) -> TableSpec:
     return TableSpec(
         schemas.KEYS[feed],
-        schemas.SURROGATES[feed],
         schemas.SILVER[feed],
+        schemas.SURROGATES[feed],
         schemas.STAMPS[feed],
         **options,
     )
 
 
 SPECS = {
-    "customers": _spec("customers", created_from="ingested_at"),
-    "transactions": _spec(
+    "customers": _silver("customers", created_from="ingested_at"),
+    "transactions": _silver(
         "transactions",
         when_changed=tuple(
             c for c in schemas.SILVER["transactions"].fieldNames() if c != "transaction_id"
         ),
     ),
-    "support": _spec("support", created_from="ingested_at"),
-    "web": _spec("web"),
+    "support": _silver("support", created_from="ingested_at"),
+    "web": _silver("web"),
+}
+
+GOLD_SPECS = {
+    # a date that is there already stays as it is
+    "dim_date": TableSpec("date_id_sk", schemas.GOLD["dim_date"], when_changed=()),
+    "dim_customers": TableSpec("customer_id", schemas.GOLD["dim_customers"]),
+    "dim_support": TableSpec("ticket_id", schemas.GOLD["dim_support"]),
+    "dim_sessions": TableSpec("session_id", schemas.GOLD["dim_sessions"]),
+    "fact_transactions": TableSpec("transaction_id", schemas.GOLD["fact_transactions"]),
 }
 
 
@@ -87,47 +93,40 @@ def merge_rows(
     'insert', 'update_postimage' or null for an untouched row. The frames are partitioned by
     bucket once, which serves the join, the numbering of new rows and the write.
     """
-    names = spec.columns.fieldNames()
-    created, updated = spec.stamps
-    now = stamp(as_of)
-    born = F.col(f"s.{spec.created_from}") if spec.created_from else now
-
+    # columns a frame does not have, such as a customer key not attached, are left out
+    names = [c for c in spec.columns.fieldNames() if c in source.columns]
+    kept = [c for c in spec.schema.fieldNames() if c in names or c not in spec.columns.names]
+    extra = [spec.created_from] if spec.created_from else []
     bucket = bucket_of(F.col(spec.key), buckets).alias("_bucket")
-    # an absent customer key column of a frame-only merge is simply not part of the row
-    names = [c for c in names if c in source.columns]
-    t = target.select(bucket, spec.surrogate, *names, created, updated).repartition("_bucket")
-    s = source.select(bucket, *names, *_extra(spec)).repartition("_bucket")
-    both = t.alias("t").join(
-        s.alias("s"),
-        (F.col("t._bucket") == F.col("s._bucket"))
-        & (F.col(f"t.{spec.key}") == F.col(f"s.{spec.key}")),
-        "full_outer",
-    )
+    t = target.select(bucket, *kept).repartition("_bucket").alias("t")
+    s = source.select(bucket, *names, *extra).repartition("_bucket").alias("s")
+    same = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in ("_bucket", spec.key)]
+    both = t.join(s, same, "full_outer")
+
     is_new, has_source = F.col(f"t.{spec.key}").isNull(), F.col(f"s.{spec.key}").isNotNull()
-    differs = F.lit(True)
-    if spec.when_changed:
-        differs = reduce(
-            or_,
-            [
-                ~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
-                for c in spec.when_changed
-                if c in names
-            ],
-        )
-    written = has_source & (is_new | differs)
+    written = has_source & (is_new | _differs(spec, names))
+    now = stamp(as_of)
+    values = {c: F.when(written, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in names}
+    if spec.surrogate:
+        values[spec.surrogate] = F.col(f"t.{spec.surrogate}")
+    if spec.stamps:
+        created, updated = spec.stamps
+        born = F.col(f"s.{spec.created_from}") if spec.created_from else now
+        values[created] = F.when(is_new, born).otherwise(F.col(f"t.{created}"))
+        values[updated] = F.when(written, now).otherwise(F.col(f"t.{updated}"))
     merged = both.select(
         F.coalesce("t._bucket", "s._bucket").alias("_bucket"),
-        F.col(f"t.{spec.surrogate}").alias(spec.surrogate),
-        *[F.when(written, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names],
-        F.when(is_new, born).otherwise(F.col(f"t.{created}")).alias(created),
-        F.when(written, now).otherwise(F.col(f"t.{updated}")).alias(updated),
+        *[values[c].alias(c) for c in kept],
         F.when(is_new, INSERT).when(written, UPDATE).alias("_change"),
     )
-    return _number_new_rows(merged, spec, buckets)
+    return _number_new_rows(merged, spec, buckets) if spec.surrogate else merged
 
 
-def _extra(spec: TableSpec) -> list[str]:
-    return [spec.created_from] if spec.created_from else []
+def _differs(spec: TableSpec, names: list[str]) -> Column:
+    if spec.when_changed is None:
+        return F.lit(True)
+    pairs = [(F.col(f"t.{c}"), F.col(f"s.{c}")) for c in spec.when_changed if c in names]
+    return reduce(or_, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))
 
 
 def _number_new_rows(merged: DataFrame, spec: TableSpec, buckets: int) -> DataFrame:
@@ -169,11 +168,11 @@ class Manifest:
 class KeyedTable:
     """A keyed table in a folder, for where no table format with MERGE is at hand.
 
-    `data/v=N/_bucket=B` holds buckets of the key's hash, `changes/v=N` the rows version N wrote,
-    `versions/N.json` which version is home to which bucket. An upsert reads and rewrites only
-    the buckets its rows fall into; the version file, written last, makes it visible at once. A
-    batch that is applied already is skipped, so a replay after a failure changes nothing. One
-    writer at a time.
+    `data/v-N/_bucket=B/_change=C` holds the rows of hash bucket B that version N inserted, updated
+    or carried over; `versions/N.json` says which version is home to which bucket. An upsert reads
+    and rewrites only the buckets its rows fall into; the version file, written last, makes it
+    visible at once. A batch that is applied already is skipped, so a replay after a failure
+    changes nothing. One writer at a time.
 
     `buckets` is fixed when the table is made: choose it so that a bucket stays below 1 GB.
     """
@@ -182,14 +181,6 @@ class KeyedTable:
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self._buckets = buckets
 
-    @property
-    def changes_path(self) -> str:
-        return f"{self.path}/changes"
-
-    @property
-    def change_schema(self) -> T.StructType:
-        return T.StructType([*self.spec.schema.fields, T.StructField("_change", T.StringType())])
-
     def manifest(self) -> Manifest:
         found = [n for n in files.names(self.spark, f"{self.path}/versions") if n[0].isdigit()]
         if not found:
@@ -201,13 +192,27 @@ class KeyedTable:
 
     def _read(self, manifest: Manifest, only: set[int] | None) -> DataFrame:
         folders = [
-            f"{self.path}/data/v={version}/_bucket={bucket}"
+            f"{self.path}/data/v-{version}/_bucket={bucket}"
             for bucket, version in sorted(manifest.homes.items())
             if only is None or bucket in only
         ]
         if not folders:
             return empty_table(self.spark, self.spec)
-        return self.spark.read.schema(self.spec.schema).parquet(*folders)
+        reader = self.spark.read.schema(self.spec.schema).option("recursiveFileLookup", "true")
+        return reader.parquet(*folders)
+
+    def read_changes(self) -> DataFrame:
+        """Stream of the rows that versions inserted or updated, with `_change`.
+
+        A version that was written but not published is written again under other file names, so
+        files may vanish and rows may come twice; consumers upsert.
+        """
+        reader = self.spark.readStream.schema(self.spec.schema).option(
+            "ignoreMissingFiles", "true"
+        )
+        rows = reader.parquet(f"{self.path}/data/*/*/_change=[iu]*")
+        change = F.regexp_extract(F.col("_metadata.file_path"), "_change=([a-z_]+)", 1)
+        return rows.select("*", change.alias("_change"))
 
     def upsert(
         self,
@@ -216,31 +221,30 @@ class KeyedTable:
         batch: int | None = None,
         as_of: datetime | None = None,
         order: str = "ingested_at",
-    ) -> int:
-        """Merge `source` into the table; returns the version that holds it.
+    ) -> int | None:
+        """Merge `source` into the table; returns the new version, None for a batch seen before.
 
         `source` may hold several rows of a key; the newest by `order` counts.
         """
         manifest = self.manifest()
         if batch is not None and manifest.applied.get(writer, -1) >= batch:
-            return manifest.version
-        as_of = as_of or datetime.now()
-        buckets = manifest.buckets
+            return None
+        version, buckets = manifest.version + 1, manifest.buckets
+        data = f"{self.path}/data/v-{version}"
+        # into an empty table there is nothing to look up; the source is then read once
+        touched = self._buckets_of(source, buckets) if manifest.homes else set()
         if order in source.columns:
             source = newest_per_key(source, self.spec.key, order)
-        # at most `buckets` numbers reach the driver
-        hit = source.select(bucket_of(F.col(self.spec.key), buckets).alias("b")).distinct()
-        touched = {r["b"] for r in hit.collect()}
-        version = manifest.version + 1
         homes = dict(manifest.homes)
-        if touched:
-            merged = merge_rows(
-                self._read(manifest, touched), source, self.spec, buckets, as_of
-            )
-            data = f"{self.path}/data/v={version}"
-            merged.write.mode("overwrite").partitionBy("_bucket").parquet(data)
-            self._write_changes(data, version)
-            homes.update(dict.fromkeys(touched, version))
+        if touched or not homes:
+            target = self._read(manifest, touched)
+            merged = merge_rows(target, source, self.spec, buckets, as_of or datetime.now())
+            layout = merged.withColumn("_change", F.coalesce("_change", F.lit("none")))
+            writer_ = layout.write.mode("overwrite").partitionBy("_bucket", "_change")
+            writer_.parquet(data)
+            written = files.names(self.spark, data)
+            found = {int(n.split("=")[1]) for n in written if n.startswith("_bucket=")}
+            homes.update(dict.fromkeys(found, version))
         applied = dict(manifest.applied)
         if batch is not None:
             applied[writer] = batch
@@ -248,12 +252,7 @@ class KeyedTable:
         files.write_text(self.spark, f"{self.path}/versions/{version:012d}.json", done.dump())
         return version
 
-    def _write_changes(self, data: str, version: int) -> None:
-        """From the files just written, so the merge does not run twice."""
-        written = self.spark.read.schema(self.change_schema).parquet(data)
-        (
-            written.where(F.col("_change").isNotNull())
-            .select(self.change_schema.fieldNames())
-            .write.mode("overwrite")
-            .parquet(f"{self.changes_path}/v={version}")
-        )
+    def _buckets_of(self, source: DataFrame, buckets: int) -> set[int]:
+        """At most `buckets` numbers reach the driver."""
+        hit = source.select(bucket_of(F.col(self.spec.key), buckets).alias("b")).distinct()
+        return {r["b"] for r in hit.collect()}

@@ -5,7 +5,7 @@ Children reach their customer by business key, so a customer that arrives late s
 `strict` joins tickets and sessions on the silver surrogate instead.
 """
 
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,31 +13,17 @@ from pyspark.sql import functions as F
 from clientele.functions.temporal import date_key
 from clientele.operators.joins import lookup_join
 from clientele.plans.silver import customer_key_column
+from clientele.plans.tables import Tables
 from clientele.schemas import KEYS, MONEY, SURROGATES
 
 
-@dataclass(frozen=True)
-class Silver:
-    customers: DataFrame
-    transactions: DataFrame
-    support: DataFrame
-    web: DataFrame
-
-
-@dataclass(frozen=True)
-class Gold:
-    dim_date: DataFrame
-    dim_customers: DataFrame
-    dim_support: DataFrame
-    dim_sessions: DataFrame
-    fact_transactions: DataFrame
-
-
 def calendar(dates: DataFrame) -> DataFrame:
-    """Attributes of a one-column frame of unique dates."""
+    """Attributes of a one-column frame of unique dates, none of them null."""
     d = F.col("dates")
+    # the coalesce marks the key as never null; else a join on it would filter every source row
+    # by "key is not null" and compute the key there
     return dates.select(
-        date_key(d).alias("date_id_sk"),
+        F.coalesce(date_key(d), F.lit(0)).alias("date_id_sk"),
         "dates",
         F.month(d).alias("months"),
         F.date_format(d, "MMM").alias("month_name"),
@@ -47,24 +33,25 @@ def calendar(dates: DataFrame) -> DataFrame:
     )
 
 
-def dates_of_silver(silver: Silver) -> DataFrame:
-    """Every date that occurs, once. Each branch is cut to dates before the one distinct."""
-    roles = [
-        (silver.transactions, "transaction_date"),
-        (silver.customers, "signup_date"),
-        (silver.support, "created_at"),
-        (silver.support, "resolved_at"),
-        (silver.web, "interaction_date"),
-    ]
+def dates_of(roles: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Every date in the given columns, once. Branches are cut to dates before the one distinct."""
     branches = [df.select(F.to_date(c).alias("dates")) for df, c in roles]
-    union = branches[0]
-    for branch in branches[1:]:
-        union = union.unionByName(branch)
-    return union.dropna().distinct()
-
-
-def build_dim_date(silver: Silver) -> DataFrame:
-    return calendar(dates_of_silver(silver))
+    union = reduce(DataFrame.unionByName, branches)
+    return union.where(F.col("dates").isNotNull()).distinct()
+
+
+def build_dim_date(silver: Tables) -> DataFrame:
+    return calendar(
+        dates_of(
+            [
+                (silver.transactions, "transaction_date"),
+                (silver.customers, "signup_date"),
+                (silver.support, "created_at"),
+                (silver.support, "resolved_at"),
+                (silver.web, "interaction_date"),
+            ]
+        )
+    )
 
 
 def _row_key(df: DataFrame, feed: str):
@@ -160,13 +147,14 @@ def build_fact_transactions(
     )
 
 
-def build_gold(silver: Silver, strict: bool = False) -> Gold:
-    return Gold(
-        dim_date=build_dim_date(silver),
-        dim_customers=build_dim_customers(silver.customers),
-        dim_support=build_dim_support(silver.support, silver.customers, strict),
-        dim_sessions=build_dim_sessions(silver.web, silver.customers, strict),
-        fact_transactions=build_fact_transactions(
+def build_gold(silver: Tables, strict: bool = False) -> Tables:
+    """The five gold tables of `silver` (customers, transactions, support, web)."""
+    return Tables(
+        dim_date=lambda: build_dim_date(silver),
+        dim_customers=lambda: build_dim_customers(silver.customers),
+        dim_support=lambda: build_dim_support(silver.support, silver.customers, strict),
+        dim_sessions=lambda: build_dim_sessions(silver.web, silver.customers, strict),
+        fact_transactions=lambda: build_fact_transactions(
             silver.transactions, silver.customers, strict
         ),
     )

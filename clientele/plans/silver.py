@@ -5,9 +5,12 @@ evident intent. A customers table, when given, must be silver: one row per custo
 """
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientele.functions.lookups import (
     CUSTOMER_STATES,
@@ -16,7 +19,7 @@ from clientele.functions.lookups import (
     session_category,
     state_name,
 )
-from clientele.functions.temporal import hour_boundaries, lenient_timestamp
+from clientele.functions.temporal import hour_boundaries, lenient_timestamp, whole_seconds
 from clientele.functions.text import business_key, comma_part, initcap_punct, token
 from clientele.operators.joins import lookup_join
 from clientele.schemas import DAYS, MONEY
@@ -29,12 +32,37 @@ NO_DATE = "1970-01-01"
 UNKNOWN_CUSTOMER = -1
 UNKNOWN_CUSTOMER_STRICT = 0  # tickets only
 
+# Rows of these feeds are dropped when one of these is missing.
+REQUIRED = {
+    "transactions": [
+        "transaction_id",
+        "customer_id",
+        "transaction_date",
+        "amount",
+        "payment_method",
+        "store_location",
+    ],
+    "web": [
+        "session_id",
+        "customer_id",
+        "page_views",
+        "session_duration",
+        "device",
+        "interaction_date",
+    ],
+}
+
 
 def _carried(df: DataFrame) -> list[str]:
     """The load time travels along, to order versions of a row."""
     return [c for c in ("ingested_at",) if c in df.columns]
 
 
+def all_given(columns: list[str]) -> Column:
+    """No column is null, in the form a scan can filter by."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def customer_key_column(customers: DataFrame) -> str:
     """The surrogate, or the business key of a table that has not been through the upsert."""
     return "customer_id_sk" if "customer_id_sk" in customers.columns else "customer_id"
@@ -89,26 +117,27 @@ def clean_transactions(
     place = F.trim("store_location")
     code = comma_part(place, 2)
     key = F.trim("customer_id") if strict else business_key(F.col("customer_id"))
-    rows = df.select(
+    when = F.col("transaction_date")
+    # loaded rows carry the date as text; a typed one needs no parsing
+    typed = isinstance(df.schema["transaction_date"].dataType, T.DatetimeType)
+    when = whole_seconds(when.cast("timestamp_ntz")) if typed else lenient_timestamp(when)
+    # raw columns are tested, so the filter does not evaluate what the projection computes
+    given = df.where(all_given(REQUIRED["transactions"]))
+    rows = given.select(
         F.substring(F.trim("transaction_id"), 1, id_length).alias("transaction_id"),
         key.alias("customer_id"),
-        lenient_timestamp(F.col("transaction_date")).alias("transaction_date"),
+        when.alias("transaction_date"),
         F.col("amount").try_cast(MONEY).alias("amount"),
         F.trim("payment_method").alias("payment_method"),
         comma_part(place, 1).alias("city"),
         state_name(code, STORE_STATES).alias("state"),
         F.upper(F.coalesce(F.nullif(code, F.lit("")), F.lit("NA"))).alias("state_code"),
         *_carried(df),
-    ).dropna(
-        subset=[
-            "transaction_id",
-            "customer_id",
-            "transaction_date",
-            "amount",
-            "payment_method",
-            "city",
-        ]
     )
+    if not typed:
+        rows = rows.dropna(subset=["transaction_date"])
+    if isinstance(df.schema["amount"].dataType, T.StringType):
+        rows = rows.dropna(subset=["amount"])
     return attach_customer(rows, customers, "customer_sk")
 
 
@@ -148,17 +177,9 @@ def clean_web(
     df: DataFrame, customers: DataFrame | None = None, strict: bool = False
 ) -> DataFrame:
     """All six fields are required."""
-    required = [
-        "session_id",
-        "customer_id",
-        "page_views",
-        "session_duration",
-        "device",
-        "interaction_date",
-    ]
     seconds = F.col("session_duration").cast("int")
     key = F.upper("customer_id") if strict else business_key(F.col("customer_id"))
-    rows = df.dropna(subset=required).select(
+    rows = df.where(all_given(REQUIRED["web"])).select(
         F.upper("session_id").alias("session_id"),
         key.alias("customer_id"),
         F.col("page_views").cast("int").alias("page_views"),

@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 from clientele.functions.lookups import resolution_bucket
 from clientele.functions.numeric import mean, percent
 from clientele.functions.temporal import date_of
-from clientele.plans.gold import Gold
+from clientele.plans.tables import Tables
 
 TOTAL = T.DecimalType(28, 2)
 
 
-def _latest_date(gold: Gold) -> Column:
+def _latest_date(gold: Tables) -> Column:
     return gold.dim_date.agg(F.max("dates")).scalar()
 
 
@@ -32,7 +32,7 @@ def _last_date(df: DataFrame, key: str, name: str) -> DataFrame:
     )
 
 
-def _spend(gold: Gold) -> DataFrame:
+def _spend(gold: Tables) -> DataFrame:
     """One row per customer with transactions: total, first and last date."""
     day = F.col("transaction_date")
     return (
@@ -47,7 +47,7 @@ def _spend(gold: Gold) -> DataFrame:
     )
 
 
-def customer_lifetime_value(gold: Gold) -> DataFrame:
+def customer_lifetime_value(gold: Tables) -> DataFrame:
     days = F.datediff("last_transaction_date", "first_transaction_date")
     return (
         gold.dim_customers.select("customer_sk", "customer_id", "full_name", "email")
@@ -65,7 +65,7 @@ def customer_lifetime_value(gold: Gold) -> DataFrame:
     )
 
 
-def customer_activity_status(gold: Gold) -> DataFrame:
+def customer_activity_status(gold: Tables) -> DataFrame:
     last = F.col("last_transaction_date")
     category = (
         F.when(last.isNull(), "Inactive")
@@ -88,7 +88,7 @@ def customer_activity_status(gold: Gold) -> DataFrame:
     )
 
 
-def signups_over_time(gold: Gold) -> DataFrame:
+def signups_over_time(gold: Tables) -> DataFrame:
     by_day = gold.dim_customers.groupBy(F.col("signup_date_sk").alias("date_id_sk")).agg(
         F.count("customer_id").alias("n")
     )
@@ -100,7 +100,7 @@ def signups_over_time(gold: Gold) -> DataFrame:
     )
 
 
-def monthly_churn_and_retention(gold: Gold) -> DataFrame:
+def monthly_churn_and_retention(gold: Tables) -> DataFrame:
     """Months without any transaction do not occur, so "start" is the previous month that does."""
     # one row per customer and month, so the window below sees months, not transactions
     months = gold.fact_transactions.select(
@@ -145,7 +145,7 @@ def monthly_churn_and_retention(gold: Gold) -> DataFrame:
     )
 
 
-def churn_rate_by_location(gold: Gold) -> DataFrame:
+def churn_rate_by_location(gold: Tables) -> DataFrame:
     """Churned: last seen from three months to one month before the latest month.
 
     The share divides by the number of locations with churn, so it can exceed 100.
@@ -176,7 +176,7 @@ def churn_rate_by_location(gold: Gold) -> DataFrame:
     ).orderBy(F.desc("churn_rate_percentage"))
 
 
-def churned_customers_by_location(gold: Gold) -> DataFrame:
+def churned_customers_by_location(gold: Tables) -> DataFrame:
     """Each branch is one row per customer before the joins, so they do not multiply."""
     sessions = _last_date(gold.dim_sessions, "interaction_date_sk", "last_session_date")
     tickets = _last_date(gold.dim_support, "created_date_sk", "last_support_date")
@@ -215,7 +215,7 @@ def churned_customers_by_location(gold: Gold) -> DataFrame:
     )
 
 
-def avg_ticket_resolution_time(gold: Gold) -> DataFrame:
+def avg_ticket_resolution_time(gold: Tables) -> DataFrame:
     """From whole dates. Tickets without a resolution date do not count."""
     days = F.datediff(date_of(F.col("resolved_date_sk")), date_of(F.col("created_date_sk")))
     total, n = F.col("days"), F.col("ticket_count")
@@ -233,7 +233,7 @@ def avg_ticket_resolution_time(gold: Gold) -> DataFrame:
     )
 
 
-def issue_type_by_tickets(gold: Gold) -> DataFrame:
+def issue_type_by_tickets(gold: Tables) -> DataFrame:
     by_type = gold.dim_support.groupBy("issue_type").agg(F.count("*").alias("ticket_count"))
     total = by_type.agg(F.sum("ticket_count")).scalar()
     return by_type.withColumn(
@@ -241,7 +241,7 @@ def issue_type_by_tickets(gold: Gold) -> DataFrame:
     ).orderBy(F.desc("ticket_count"))
 
 
-def resolution_ticket_count(gold: Gold) -> DataFrame:
+def resolution_ticket_count(gold: Tables) -> DataFrame:
     days = F.col("resolution_time_days")
     return (
         gold.dim_support.where(F.col("satisfaction_score").isNotNull() & days.isNotNull())
@@ -252,7 +252,7 @@ def resolution_ticket_count(gold: Gold) -> DataFrame:
     )
 
 
-def tickets_over_time(gold: Gold) -> DataFrame:
+def tickets_over_time(gold: Tables) -> DataFrame:
     by_day = (
         gold.dim_support.where(F.col("resolved_date_sk").isNotNull())
         .groupBy(F.col("created_date_sk").alias("date_id_sk"))
@@ -273,7 +273,7 @@ def tickets_over_time(gold: Gold) -> DataFrame:
     )
 
 
-def performance_by_session(gold: Gold) -> DataFrame:
+def performance_by_session(gold: Tables) -> DataFrame:
     """Grouped by category and customer first: the distinct count is then a plain count."""
     by_customer = gold.dim_sessions.groupBy("session_category", "customer_id_sk").agg(
         F.count("*").alias("n"),
@@ -293,7 +293,7 @@ def performance_by_session(gold: Gold) -> DataFrame:
     )
 
 
-def web_session_count_by_device(gold: Gold) -> DataFrame:
+def web_session_count_by_device(gold: Tables) -> DataFrame:
     return (
         gold.dim_sessions.groupBy("device_type")
         .agg(F.count("session_id").alias("session_count"))
@@ -301,7 +301,7 @@ def web_session_count_by_device(gold: Gold) -> DataFrame:
     )
 
 
-def customer_purchase_frequency_monthly(gold: Gold) -> DataFrame:
+def customer_purchase_frequency_monthly(gold: Tables) -> DataFrame:
     month = F.floor(F.col("transaction_date") / 100).cast("int")
     by_month = gold.fact_transactions.groupBy(
         F.col("customer_id_sk").alias("customer_sk"), month.alias("month")
@@ -318,7 +318,7 @@ def customer_purchase_frequency_monthly(gold: Gold) -> DataFrame:
     )
 
 
-VIEWS: dict[str, Callable[[Gold], DataFrame]] = {
+VIEWS: dict[str, Callable[[Tables], DataFrame]] = {
     f.__name__: f
     for f in (
         customer_lifetime_value,
@@ -338,9 +338,9 @@ VIEWS: dict[str, Callable[[Gold], DataFrame]] = {
 }
 
 
-def register_views(gold: Gold) -> None:
+def register_views(gold: Tables) -> None:
     """Make gold tables and all views available to SQL under their names."""
-    for name, df in vars(gold).items():
-        df.createOrReplaceTempView(name)
+    for name in gold:
+        getattr(gold, name).createOrReplaceTempView(name)
     for name, view in VIEWS.items():
         view(gold).createOrReplaceTempView(name)

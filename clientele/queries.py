@@ -14,9 +14,10 @@ from clientele.functions.temporal import date_of
 from clientele.operators import quality
 from clientele.operators.surrogate import assign_sk, dense_sk
 from clientele.operators.upsert import SPECS, empty_table, merge_rows, newest_per_key
-from clientele.plans.gold import Gold, Silver, build_gold
+from clientele.plans.gold import build_gold
 from clientele.plans.ingest import INGEST
 from clientele.plans.silver import CLEAN
+from clientele.plans.tables import Tables
 from clientele.plans.views import VIEWS
 from clientele.schemas import AUDIT
 from clientele.session import tune
@@ -42,39 +43,38 @@ def silver(spark: SparkSession, sf_dir: str, feed: str, strict: bool = False) ->
     return CLEAN[feed](bronze(spark, sf_dir, feed), strict=strict).drop("ingested_at")
 
 
-def star(spark: SparkSession, sf_dir: str, strict: bool = False) -> Gold:
-    customers = silver(spark, sf_dir, "customers", strict)
-    # strict tickets and sessions reach customers through the key attached in silver
-    linked = {"customers": customers} if strict else {}
+def star(spark: SparkSession, sf_dir: str, strict: bool = False) -> Tables:
+    """Gold over the feeds."""
 
-    def child(feed: str, **more) -> DataFrame:
-        return CLEAN[feed](bronze(spark, sf_dir, feed), strict=strict, **more).drop("ingested_at")
+    def child(feed: str, linked: bool = False) -> DataFrame:
+        # strict tickets and sessions reach customers through the key attached in silver
+        customers = tables.customers if linked else None
+        rows = CLEAN[feed](bronze(spark, sf_dir, feed), customers, strict=strict)
+        return rows.drop("ingested_at")
 
-    return build_gold(
-        Silver(
-            customers,
-            child("transactions"),
-            child("support", **linked),
-            child("web", **linked),
-        ),
-        strict,
+    tables = Tables(
+        customers=lambda: silver(spark, sf_dir, "customers", strict),
+        transactions=lambda: child("transactions"),
+        support=lambda: child("support", linked=strict),
+        web=lambda: child("web", linked=strict),
     )
+    return build_gold(tables, strict)
 
 
 # ---- business-key forms of gold ----------------------------------------------------------------
 
 
-def _dim_date(gold: Gold) -> DataFrame:
+def _dim_date(gold: Tables) -> DataFrame:
     return gold.dim_date.drop("date_id_sk")
 
 
-def _dim_customers(gold: Gold) -> DataFrame:
+def _dim_customers(gold: Tables) -> DataFrame:
     return gold.dim_customers.withColumn(
         "signup_date", date_of(F.col("signup_date_sk"))
     ).drop("customer_sk", "signup_date_sk")
 
 
-def _dim_support(gold: Gold) -> DataFrame:
+def _dim_support(gold: Tables) -> DataFrame:
     return gold.dim_support.select(
         "ticket_id",
         F.col("customer_id_sk").alias("customer_id"),
@@ -87,7 +87,7 @@ def _dim_support(gold: Gold) -> DataFrame:
     )
 
 
-def _dim_sessions(gold: Gold) -> DataFrame:
+def _dim_sessions(gold: Tables) -> DataFrame:
     return gold.dim_sessions.select(
         "session_id",
         F.col("customer_id_sk").alias("customer_id"),
@@ -99,7 +99,7 @@ def _dim_sessions(gold: Gold) -> DataFrame:
     )
 
 
-def _fact_transactions(gold: Gold) -> DataFrame:
+def _fact_transactions(gold: Tables) -> DataFrame:
     return gold.fact_transactions.select(
         "transaction_id",
         F.col("customer_id_sk").alias("customer_id"),
@@ -233,7 +233,7 @@ def _cleaned(feed: str, strict: bool = False) -> Query:
     return lambda spark, sf_dir: silver(spark, sf_dir, feed, strict)
 
 
-def _from_gold(f: Callable[[Gold], DataFrame], strict: bool = False) -> Query:
+def _from_gold(f: Callable[[Tables], DataFrame], strict: bool = False) -> Query:
     return lambda spark, sf_dir: f(star(spark, sf_dir, strict))
 
 

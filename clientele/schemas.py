@@ -61,6 +61,38 @@ RAW = {
     ),
 }
 
+# What ingest leaves in the landing folders, without audit columns.
+LANDING = {
+    "customers": _struct(
+        ("customer_id", _S),
+        ("name", _S),
+        ("email", _S),
+        ("phone", _S),
+        ("signup_date", _TS),
+        ("city", _S),
+        ("state_code", _S),
+    ),
+    "transactions": _struct(
+        ("transaction_id", _S),
+        ("customer_id", _S),
+        ("transaction_date", _TS),
+        ("amount", MONEY),
+        ("payment_method", _S),
+        ("store_location", _S),
+        ("city", _S),
+        ("state_code", _S),
+    ),
+    "support": RAW["support"],
+    "web": _struct(
+        ("session_id", _S),
+        ("customer_id", _S),
+        ("page_views", _L),
+        ("session_duration", _L),
+        ("device", _S),
+        ("interaction_date", _TS),
+    ),
+}
+
 # Loaded rows: typed source columns, then audit columns.
 BRONZE = {
     "customers": _struct(
@@ -173,6 +205,66 @@ STAMPS = {
     "web": ("created_timestamp", "updated_timestamp"),
 }
 
+# Gold. Calendar keys are yyyymmdd.
+GOLD = {
+    "dim_date": _struct(
+        ("date_id_sk", _I),
+        ("dates", _D),
+        ("months", _I),
+        ("month_name", _S),
+        ("quarters", _I),
+        ("years", _I),
+        ("days", _S),
+    ),
+    "dim_customers": _struct(
+        ("customer_sk", _L),
+        ("customer_id", _S),
+        ("first_name", _S),
+        ("last_name", _S),
+        ("full_name", _S),
+        ("email", _S),
+        ("phone", _S),
+        ("city", _S),
+        ("state_code", _S),
+        ("state_name", _S),
+        ("signup_date_sk", _I),
+    ),
+    "dim_support": _struct(
+        ("ticket_sk", _L),
+        ("ticket_id", _S),
+        ("customer_id_sk", _L),
+        ("created_date_sk", _I),
+        ("issue_type", _S),
+        ("resolution_time_days", DAYS),
+        ("resolved_date_sk", _I),
+        ("satisfaction_category", _S),
+        ("satisfaction_score", _I),
+    ),
+    "dim_sessions": _struct(
+        ("session_sk", _L),
+        ("session_id", _S),
+        ("customer_id_sk", _L),
+        ("session_duration", _I),
+        ("page_views", _I),
+        ("interaction_date_sk", _I),
+        ("device_type", _S),
+        ("session_category", _S),
+    ),
+    "fact_transactions": _struct(
+        ("transaction_id_sk", _L),
+        ("transaction_id", _S),
+        ("customer_id_sk", _L),
+        ("support_id_sk", _L),
+        ("session_id_sk", _L),
+        ("transaction_date", _I),
+        ("amount", MONEY),
+        ("payment_method", _S),
+        ("city", _S),
+        ("state", _S),
+        ("state_code", _S),
+    ),
+}
+
 RUN_LOG = _struct(
     ("run_id", _S),
     ("task_name", _S),

@@ -28,6 +28,7 @@ def local_session(cpus: int | str = "*", name: str = "clientele", **conf: str) -
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():

@@ -1,7 +1,5 @@
 """The four raw feeds derived from the test tables; rules in FIXTURES.md."""
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +25,6 @@ ISSUES = ["Billing", "Delivery", "Refund", "Login"]
 GUEST = "99999"
 
 
-@dataclass(frozen=True)
-class Feeds:
-    customers: DataFrame
-    transactions: DataFrame
-    support: DataFrame
-    web: DataFrame
-
-
 def _padded(c: Column, width: int) -> Column:
     """Digits padded with zeros to at least `width`; longer numbers stay whole."""
     text = c.cast("string")
@@ -123,12 +113,3 @@ def web(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(k % 61 != 0, _serial(F.col("ts"))).alias("interaction_date"),
         )
     )
-
-
-def feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    return Feeds(
-        customers(spark, sf_dir),
-        transactions(spark, sf_dir),
-        support(spark, sf_dir),
-        web(spark, sf_dir),
-    )
