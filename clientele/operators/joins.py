@@ -36,11 +36,12 @@ def hot_keys(rows: DataFrame, key: str) -> list:
             F.count("*").alias("n"),
         )
     )
-    merged = sketches.agg(
+    # by a constant: without rows there is no group, and so no sketch to read
+    merged = sketches.groupBy(F.lit("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
         F.sum("n").alias("n"),
     )
-    top = merged.where(F.col("n") > 0).select(
+    top = merged.select(
         "n", F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))")
     )
     return [r["item"] for r in top.where(F.col("count") >= F.col("n") * HOT_SHARE).collect()]

@@ -90,36 +90,47 @@ def merge_rows(
     """Target after the upsert of `source`, with `_bucket` and `_change`.
 
     Both sides have one row per key; `target` may be any whole buckets of the table. `_change` is
-    'insert', 'update_postimage' or null for an untouched row. The frames are partitioned by
-    bucket once, which serves the join, the numbering of new rows and the write.
+    'insert', 'update_postimage' or null for an untouched row. Both sides meet by grouping their
+    union, which is shuffled by bucket and sorted by key once; that also serves the numbering of
+    new rows and the write.
     """
     # columns a frame does not have, such as a customer key not attached, are left out
     names = [c for c in spec.columns.fieldNames() if c in source.columns]
     kept = [c for c in spec.schema.fieldNames() if c in names or c not in spec.columns.names]
     extra = [spec.created_from] if spec.created_from else []
     bucket = bucket_of(F.col(spec.key), buckets).alias("_bucket")
-    t = target.select(bucket, *kept).repartition("_bucket").alias("t")
-    s = source.select(bucket, *names, *extra).repartition("_bucket").alias("s")
-    same = [F.col(f"t.{c}") == F.col(f"s.{c}") for c in ("_bucket", spec.key)]
-    both = t.join(s, same, "full_outer")
-
-    is_new, has_source = F.col(f"t.{spec.key}").isNull(), F.col(f"s.{spec.key}").isNotNull()
+    t = target.select(bucket, F.col(spec.key).alias("_key"), F.struct(kept).alias("t"))
+    s = source.select(bucket, F.col(spec.key).alias("_key"), F.struct(names + extra).alias("s"))
+    both = (
+        t.unionByName(s, allowMissingColumns=True)
+        .repartition("_bucket")
+        .groupBy("_bucket", "_key")
+        .agg(F.first("t", ignorenulls=True).alias("t"), F.first("s", ignorenulls=True).alias("s"))
+    )
+    is_new, has_source = F.col("t").isNull(), F.col("s").isNotNull()
     written = has_source & (is_new | _differs(spec, names))
     now = stamp(as_of)
     values = {c: F.when(written, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in names}
+    values[spec.key] = F.col("_key")
     if spec.surrogate:
-        values[spec.surrogate] = F.col(f"t.{spec.surrogate}")
+        # new rows continue the sequence of their bucket, in key order
+        place = W.partitionBy("_bucket")
+        so_far = place.orderBy("_key").rowsBetween(W.unboundedPreceding, W.currentRow)
+        old = F.col(f"t.{spec.surrogate}")
+        used = F.coalesce(F.max(F.floor((old - 1) / buckets) + 1).over(place), F.lit(0))
+        rank = F.count(F.when(is_new, 1)).over(so_far)
+        fresh = key_in_bucket(used + rank, F.col("_bucket"), buckets).cast("long")
+        values[spec.surrogate] = F.coalesce(old, fresh)
     if spec.stamps:
         created, updated = spec.stamps
         born = F.col(f"s.{spec.created_from}") if spec.created_from else now
         values[created] = F.when(is_new, born).otherwise(F.col(f"t.{created}"))
         values[updated] = F.when(written, now).otherwise(F.col(f"t.{updated}"))
-    merged = both.select(
-        F.coalesce("t._bucket", "s._bucket").alias("_bucket"),
+    return both.select(
+        "_bucket",
         *[values[c].alias(c) for c in kept],
         F.when(is_new, INSERT).when(written, UPDATE).alias("_change"),
     )
-    return _number_new_rows(merged, spec, buckets) if spec.surrogate else merged
 
 
 def _differs(spec: TableSpec, names: list[str]) -> Column:
@@ -129,19 +140,6 @@ def _differs(spec: TableSpec, names: list[str]) -> Column:
     return reduce(or_, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))
 
 
-def _number_new_rows(merged: DataFrame, spec: TableSpec, buckets: int) -> DataFrame:
-    """New rows continue the sequence of their bucket, in key order."""
-    sk = F.col(spec.surrogate)
-    is_new = sk.isNull()
-    in_bucket = W.partitionBy("_bucket")
-    rank = F.count(F.when(is_new, 1)).over(
-        in_bucket.orderBy(spec.key).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    used = F.coalesce(F.max(F.floor((sk - 1) / buckets) + 1).over(in_bucket), F.lit(0))
-    fresh = key_in_bucket(used + rank, F.col("_bucket"), buckets).cast("long")
-    return merged.withColumn(spec.surrogate, F.coalesce(sk, fresh))
-
-
 def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)
 

@@ -5,14 +5,12 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Runtime settings. AQE re-plans joins on measured sizes and splits skewed join partitions, also
-# where the split costs one more shuffle above the join. The last one lets a frame that is already
-# partitioned by bucket join on (bucket, key) without another shuffle.
+# where the split costs one more shuffle above the join.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
