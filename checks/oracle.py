@@ -470,6 +470,9 @@ def oracle_sql() -> dict[str, str]:
     strict_parts = {**FEEDS, **STRICT_SILVER, **STRICT_GOLD}
     bodies = {**OPERATORS, **VIEWS}
     out = {name: _chain(_needed(parts, sql), sql) for name, sql in bodies.items()}
+    # the streams must end where the batch does
+    out["streamed_lifetime_value"] = out["customer_lifetime_value"]
+    out["streamed_resolution_count"] = out["resolution_ticket_count"]
     for name in STRICT:
         sql = bodies[name]
         out[f"{name}_strict"] = _chain(_needed(strict_parts, sql), sql)

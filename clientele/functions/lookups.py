@@ -20,8 +20,8 @@ STORE_STATES = {**CUSTOMER_STATES, "WA": "Washington"}
 
 
 def state_name(code: Column, states: dict[str, str]) -> Column:
-    pairs = F.create_map(*[F.lit(x) for pair in states.items() for x in pair])
-    return F.coalesce(F.try_element_at(pairs, code), F.lit("Unknown"))
+    pairs = ", ".join(f"'{short}', '{name}'" for short, name in states.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), code), F.lit("Unknown"))
 
 
 def satisfaction_category(score: Column) -> Column:

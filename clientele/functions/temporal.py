@@ -13,8 +13,11 @@ SERIAL_MIN, SERIAL_MAX = -81182, 132320
 def serial_to_timestamp(c: Column) -> Column:
     """Spreadsheet serial day (fraction = time of day) to timestamp; unusable input gives null."""
     days = c.try_cast("double")
-    seconds = F.when(days.between(SERIAL_MIN, SERIAL_MAX), F.round(days * 86400, 3))
-    return F.lit(SERIAL_ORIGIN).cast("timestamp_ntz") + F.lit(timedelta(seconds=1)) * seconds
+    # to the nearest millisecond: a serial day holds a second only approximately
+    millis = F.floor(days * 86_400_000 + 0.5)
+    usable = F.when(days.between(SERIAL_MIN, SERIAL_MAX), millis)
+    origin = F.lit(SERIAL_ORIGIN).cast("timestamp_ntz")
+    return origin + F.lit(timedelta(milliseconds=1)) * usable
 
 
 def lenient_timestamp(c: Column) -> Column:
@@ -27,8 +30,9 @@ def lenient_timestamp(c: Column) -> Column:
 
 def whole_seconds(c: Column) -> Column:
     """A timestamp without its fraction of a second."""
-    second = F.extract(F.lit("SECOND"), c)
-    return c - F.lit(timedelta(seconds=1)) * (second - F.floor(second))
+    # the session zone shifts by whole seconds, so it does not show in the remainder
+    micros = F.pmod(F.unix_micros(c.cast("timestamp")), F.lit(1_000_000))
+    return c - F.lit(timedelta(microseconds=1)) * micros
 
 
 def hour_boundaries(start: Column, end: Column) -> Column:

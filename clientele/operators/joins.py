@@ -48,7 +48,7 @@ def hot_keys(rows: DataFrame, key: str) -> list:
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join `rows` to `table`, which has one row per `key`; `how` is inner or left.
+    """Join `rows` to `table`, which has one row per `key`; `how` is inner, left or left_semi.
 
     A table the optimizer sizes below the broadcast threshold is joined by Spark's own choice,
     a broadcast, and rows are not shuffled. Otherwise the rows of hot keys (and null keys) are

@@ -140,6 +140,11 @@ def _differs(spec: TableSpec, names: list[str]) -> Column:
     return reduce(or_, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))
 
 
+def buckets_for(size: int, per_bucket: int = 512 << 20) -> int:
+    """Buckets for a table expected to grow to `size` bytes."""
+    return max(8, -(-size // per_bucket))
+
+
 def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.createDataFrame([], spec.schema)
 
@@ -172,7 +177,7 @@ class KeyedTable:
     visible at once. A batch that is applied already is skipped, so a replay after a failure
     changes nothing. One writer at a time.
 
-    `buckets` is fixed when the table is made: choose it so that a bucket stays below 1 GB.
+    `buckets` is fixed when the table is made; see `buckets_for`.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 8):
@@ -199,16 +204,14 @@ class KeyedTable:
         reader = self.spark.read.schema(self.spec.schema).option("recursiveFileLookup", "true")
         return reader.parquet(*folders)
 
-    def read_changes(self) -> DataFrame:
+    def read_changes(self, **options) -> DataFrame:
         """Stream of the rows that versions inserted or updated, with `_change`.
 
         A version that was written but not published is written again under other file names, so
         files may vanish and rows may come twice; consumers upsert.
         """
-        reader = self.spark.readStream.schema(self.spec.schema).option(
-            "ignoreMissingFiles", "true"
-        )
-        rows = reader.parquet(f"{self.path}/data/*/*/_change=[iu]*")
+        reader = self.spark.readStream.schema(self.spec.schema).options(**options)
+        rows = reader.option("ignoreMissingFiles", "true").parquet(f"{self.path}/data/*/*/_change=[iu]*")
         change = F.regexp_extract(F.col("_metadata.file_path"), "_change=([a-z_]+)", 1)
         return rows.select("*", change.alias("_change"))
 

@@ -7,14 +7,14 @@ Children reach their customer by business key, so a customer that arrives late s
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.temporal import date_key
 from clientele.operators.joins import lookup_join
 from clientele.plans.silver import customer_key_column
 from clientele.plans.tables import Tables
-from clientele.schemas import KEYS, MONEY, SURROGATES
+from clientele.schemas import GOLD, KEYS, MONEY, SURROGATES
 
 
 def calendar(dates: DataFrame) -> DataFrame:
@@ -158,3 +158,23 @@ def build_gold(silver: Tables, strict: bool = False) -> Tables:
             silver.transactions, silver.customers, strict
         ),
     )
+
+
+def write_gold(gold: Tables, path: str) -> None:
+    """A full rebuild: every table under `path`, the fact in one folder per month.
+
+    The rebalance hint gathers a month's rows and splits months that are too large for one task.
+    """
+    for name in gold:
+        df, parts = getattr(gold, name), []
+        if name == "fact_transactions":
+            month = F.floor(F.col("transaction_date") / 100).cast("int")
+            df, parts = df.withColumn("month", month).hint("rebalance", F.col("month")), ["month"]
+        df.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{name}")
+
+
+def read_gold(spark: SparkSession, path: str) -> Tables:
+    def reader(name: str):
+        return lambda: spark.read.parquet(f"{path}/{name}").drop("month")
+
+    return Tables(**{name: reader(name) for name in GOLD})

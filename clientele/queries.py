@@ -4,6 +4,7 @@ Frames here are composed lazily from the feeds, so a plan reaches down to the Pa
 table that has not been through the keyed upsert has no surrogates; its business keys stand in.
 """
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -12,16 +13,25 @@ from pyspark.sql import functions as F
 
 from clientele.functions.temporal import date_of
 from clientele.operators import quality
+from clientele.operators.joins import estimated_bytes
 from clientele.operators.surrogate import assign_sk, dense_sk
-from clientele.operators.upsert import SPECS, empty_table, merge_rows, newest_per_key
+from clientele.operators.upsert import (
+    SPECS,
+    buckets_for,
+    empty_table,
+    merge_rows,
+    newest_per_key,
+)
 from clientele.plans.gold import build_gold
 from clientele.plans.ingest import INGEST
 from clientele.plans.silver import CLEAN
 from clientele.plans.tables import Tables
 from clientele.plans.views import VIEWS
 from clientele.schemas import AUDIT
-from clientele.session import tune
+from clientele.session import scratch_dir, tune
 from clientele.sources import feeds
+from clientele.sources.readers import append_raw
+from clientele.streaming.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,6 +220,24 @@ def quality_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("transaction_id", "customer_id", F.col("_reason").alias("reason"))
 
 
+def _streamed(view: str, feeds_used: tuple[str, ...]) -> Query:
+    """The view after the feeds went through landing files, bronze, silver and gold streams."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = f"{scratch_dir(spark)}/clientele-{uuid.uuid4().hex}"
+        landing = {feed: f"{root}/landing/{feed}" for feed in feeds_used}
+        size = 0
+        for feed, path in landing.items():
+            rows = INGEST[feed](raw(spark, sf_dir, feed))
+            size = max(size, estimated_bytes(rows))
+            append_raw(rows, path)
+        warehouse = Warehouse(spark, f"{root}/warehouse", buckets_for(size))
+        warehouse.cycle(landing)
+        return VIEWS[view](warehouse.gold())
+
+    return query
+
+
 # ---- registry ----------------------------------------------------------------------------------
 
 STRICT = [
@@ -257,6 +285,12 @@ def registry() -> dict[str, Query]:
         "transaction_surrogates": transaction_surrogates,
         "upsert_transactions": upsert_transactions,
         "upsert_customers": upsert_customers,
+        "streamed_lifetime_value": _streamed(
+            "customer_lifetime_value", ("customers", "transactions")
+        ),
+        "streamed_resolution_count": _streamed(
+            "resolution_ticket_count", ("customers", "support")
+        ),
         "quality_duplicates": quality_duplicates,
         "quality_orphans": quality_orphans,
         "quality_length": quality_length,

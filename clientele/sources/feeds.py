@@ -1,10 +1,6 @@
 """The four raw feeds derived from the test tables; rules in FIXTURES.md."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from clientele.functions.temporal import SERIAL_ORIGIN
-from clientele.schemas import MONEY, SCORE
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values of the derivation.
 PLACES = [
@@ -24,92 +20,90 @@ DEVICES = ["mobile", "DESKTOP", "tablet", "smart-tv"]
 ISSUES = ["Billing", "Delivery", "Refund", "Login"]
 GUEST = "99999"
 
+TABLES = {
+    "customer": "c_custkey long, c_nationkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
-def _padded(c: Column, width: int) -> Column:
+def _padded(number: str, width: int) -> str:
     """Digits padded with zeros to at least `width`; longer numbers stay whole."""
-    text = c.cast("string")
-    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+    text = f"cast({number} AS string)"
+    return f"lpad({text}, greatest({width}, length({text})), '0')"
 
 
-def _pick(values: list[str], i: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), i.cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({listed}), cast({index} AS int))"
 
 
-def _serial(c: Column) -> Column:
-    return F.datediff(c, F.lit(SERIAL_ORIGIN).cast("date")).cast("double")
+def _serial(moment: str) -> str:
+    return f"cast(datediff({moment}, date'1899-12-30') AS double)"
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
-    last = F.concat(F.lit("Last"), k)
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        _padded(k, 5).alias("customer_id"),
-        F.when(k % 50 == 7, None)
-        .when(k % 50 == 8, "Mono")
-        .when(k % 50 == 9, F.concat(F.lit("Mary Ann "), last))
-        .otherwise(F.concat(F.lit("First"), nation, F.lit(" "), last))
-        .alias("name"),
-        F.when(k % 20 != 3, F.concat(F.lit("c"), k, F.lit("@example.com"))).alias("email"),
-        F.when(k % 20 != 4, F.concat(F.lit("555"), _padded(k, 7))).alias("phone"),
-        (F.lit(43831) + k % 1400).cast("double").alias("signup_date"),
-        F.when(k % 40 == 5, "Nowhere")
-        .otherwise(_pick(PLACES, F.col("c_nationkey") % 10))
-        .alias("location"),
+    k = "c_custkey"
+    return _table(spark, sf_dir, "customer").selectExpr(
+        f"{_padded(k, 5)} AS customer_id",
+        f"CASE {k} % 50 WHEN 7 THEN null WHEN 8 THEN 'Mono' WHEN 9 THEN 'Mary Ann Last' || {k} "
+        f"ELSE 'First' || c_nationkey || ' Last' || {k} END AS name",
+        f"CASE WHEN {k} % 20 <> 3 THEN 'c' || {k} || '@example.com' END AS email",
+        f"CASE WHEN {k} % 20 <> 4 THEN '555' || {_padded(k, 7)} END AS phone",
+        f"cast(43831 + {k} % 1400 AS double) AS signup_date",
+        f"CASE WHEN {k} % 40 = 5 THEN 'Nowhere' ELSE {_pick(PLACES, 'c_nationkey % 10')} END "
+        "AS location",
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str, corrected: bool = False) -> DataFrame:
     """`corrected`: the table as sent again later, with 1.00 more for every finished order."""
-    k, customer = F.col("o_orderkey"), F.col("o_custkey")
-    amount = F.round("o_totalprice", 2).cast(MONEY)
+    k, amount = "o_orderkey", "cast(o_totalprice AS decimal(18,2))"
     if corrected:
-        amount = F.when(F.col("o_orderstatus") == "F", amount + 1).otherwise(amount).cast(MONEY)
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        _padded(k, 6).alias("transaction_id"),
-        F.when((k % 97 == 0) | (customer % 25 == 0), GUEST)
-        .otherwise(_padded(customer, 5))
-        .alias("customer_id"),
-        (_serial(F.col("o_orderdate")) + 8218).alias("transaction_date"),
-        F.when(k % 101 != 0, amount).alias("amount"),
-        _pick(PAYMENTS, F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias(
-            "payment_method"
-        ),
-        F.when(k % 60 == 11, "Nowhere").otherwise(_pick(PLACES, k % 10)).alias("store_location"),
+        more = f"cast({amount} + 1 AS decimal(18,2))"
+        amount = f"CASE WHEN o_orderstatus = 'F' THEN {more} ELSE {amount} END"
+    payment = _pick(PAYMENTS, "cast(substring(o_orderpriority, 1, 1) AS int) - 1")
+    return _table(spark, sf_dir, "orders").selectExpr(
+        f"{_padded(k, 6)} AS transaction_id",
+        f"CASE WHEN {k} % 97 = 0 OR o_custkey % 25 = 0 THEN '{GUEST}' "
+        f"ELSE {_padded('o_custkey', 5)} END AS customer_id",
+        f"{_serial('o_orderdate')} + 8218 AS transaction_date",
+        f"CASE WHEN {k} % 101 <> 0 THEN {amount} END AS amount",
+        f"{payment} AS payment_method",
+        f"CASE WHEN {k} % 60 = 11 THEN 'Nowhere' ELSE {_pick(PLACES, f'{k} % 10')} END "
+        "AS store_location",
     )
 
 
 def support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, zero = F.col("event_id"), F.lit(0)
-    seconds = F.floor(F.col("value") * 3600).cast("decimal(18,6)")
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .where(F.col("event_type") == "error")
-        .select(
-            F.concat(F.lit("T"), _padded(k, 6)).alias("ticket_id"),
-            F.when(k % 89 == 0, GUEST)
-            .otherwise(_padded(F.col("user_id"), 5))
-            .alias("customer_id"),
-            F.col("ts").alias("created_at"),
-            F.when(
-                k % 53 != 0, F.col("ts") + F.make_dt_interval(zero, zero, zero, seconds)
-            ).alias("resolved_at"),
-            F.when(k % 31 != 0, _pick(ISSUES, k % 4)).alias("issue_type"),
-            F.when(k % 37 != 0, ((k % 9) / 2 + 1).cast(SCORE)).alias("satisfaction_score"),
-        )
+    k = "event_id"
+    seconds = "cast(floor(value * 3600) AS bigint)"
+    events = _table(spark, sf_dir, "events").where("event_type = 'error'")
+    return events.selectExpr(
+        f"'T' || {_padded(k, 6)} AS ticket_id",
+        f"CASE WHEN {k} % 89 = 0 THEN '{GUEST}' ELSE {_padded('user_id', 5)} END AS customer_id",
+        "ts AS created_at",
+        f"CASE WHEN {k} % 53 <> 0 THEN ts + INTERVAL '1' SECOND * {seconds} END AS resolved_at",
+        f"CASE WHEN {k} % 31 <> 0 THEN {_pick(ISSUES, f'{k} % 4')} END AS issue_type",
+        f"CASE WHEN {k} % 37 <> 0 THEN cast(({k} % 9) / 2 + 1 AS decimal(3,1)) END "
+        "AS satisfaction_score",
     )
 
 
 def web(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("event_id")
-    return (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .where(F.col("event_type").isin("view", "click"))
-        .select(
-            F.concat(F.lit("s"), k).alias("session_id"),
-            _padded(F.col("user_id"), 5).alias("customer_id"),
-            (F.get_json_object("props", "$.k").cast("long") + 1).alias("page_views"),
-            F.floor("value").cast("long").alias("session_duration"),
-            _pick(DEVICES, k % 4).alias("device"),
-            F.when(k % 61 != 0, _serial(F.col("ts"))).alias("interaction_date"),
-        )
+    k = "event_id"
+    events = _table(spark, sf_dir, "events").where("event_type IN ('view', 'click')")
+    return events.selectExpr(
+        f"'s' || {k} AS session_id",
+        f"{_padded('user_id', 5)} AS customer_id",
+        "cast(get_json_object(props, '$.k') AS bigint) + 1 AS page_views",
+        "cast(floor(value) AS bigint) AS session_duration",
+        f"{_pick(DEVICES, f'{k} % 4')} AS device",
+        f"CASE WHEN {k} % 61 <> 0 THEN {_serial('ts')} END AS interaction_date",
     )

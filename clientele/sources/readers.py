@@ -104,6 +104,8 @@ def load_typed(
             .agg(F.count("*").alias("n"))
             .select("_file", F.concat(F.col("n"), F.lit(" bad rows in file")).alias("_reason"))
         )
+        # at most one row per file read, a list the driver holds to plan the scan anyway
+        bad_files = F.broadcast(bad_files)
         good = rows.join(bad_files, "_file", "left_anti").select(columns)
         rejects = rows.join(bad_files, "_file").select(*columns, "_file", "_reason")
         return good, rejects

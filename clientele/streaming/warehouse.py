@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clientele import schemas
 from clientele.operators import quality
+from clientele.operators.joins import lookup_join
 from clientele.operators.runlog import run_history, run_logged
 from clientele.operators.upsert import (
     GOLD_SPECS,
@@ -64,12 +65,18 @@ DATE_COLUMNS = {
 
 
 class Warehouse:
-    """`buckets` sizes new tables: bytes of the table / 512 MB is a good start."""
+    """`buckets` sizes new tables, see `buckets_for`; `files_per_batch` bounds a batch."""
 
     def __init__(
-        self, spark: SparkSession, root: str, buckets: int = 8, strict: bool = False
+        self,
+        spark: SparkSession,
+        root: str,
+        buckets: int = 8,
+        strict: bool = False,
+        files_per_batch: int | None = None,
     ):
         self.spark, self.root, self.strict = tune(spark), root.rstrip("/"), strict
+        self._limits = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
         self._silver = {f: self._table("silver", f, s, buckets) for f, s in SPECS.items()}
         self._gold = {g: self._table("gold", g, s, buckets) for g, s in GOLD_SPECS.items()}
         self.log_path = f"{self.root}/run_log"
@@ -112,6 +119,7 @@ class Warehouse:
             schema = schemas.LANDING[feed]
             if fmt != "parquet":
                 schema = T.StructType([T.StructField(c, T.StringType()) for c in schema.names])
+        options = {**self._limits, **options}
         files = self.spark.readStream.schema(schema).format(fmt).options(**options).load(landing)
         rows = files.select("*", F.col("_metadata.file_path").alias("_file"))
 
@@ -129,7 +137,7 @@ class Warehouse:
 
     def merge(self, feed: str, trigger: dict | None = None) -> StreamingQuery:
         """New bronze rows: cleanse, set broken rows aside, upsert into silver, log the run."""
-        reader = self.spark.readStream.schema(schemas.BRONZE[feed])
+        reader = self.spark.readStream.schema(schemas.BRONZE[feed]).options(**self._limits)
         rows = reader.option("recursiveFileLookup", "true").parquet(self._bronze_path(feed))
         table, task = self._silver[feed], f"merge_{feed}"
 
@@ -146,7 +154,7 @@ class Warehouse:
     def refresh(self, feed: str, trigger: dict | None = None) -> StreamingQuery:
         """New silver changes to gold: the calendar first, then the feed's own table."""
         table, task = self._silver[feed], f"refresh_{feed}"
-        rows = table.read_changes()
+        rows = table.read_changes(**self._limits)
 
         def work(batch: DataFrame, batch_id: int) -> None:
             self._refresh(feed, batch, task, batch_id)
@@ -213,7 +221,7 @@ class Warehouse:
         """Rows that came before their customer enter gold when the customer does."""
         name, build, customer_sk = CHILDREN[feed]
         waiting = self._silver[feed].read().where(F.col(customer_sk) == UNKNOWN_CUSTOMER)
-        rows = waiting.join(arrived, "customer_id", "left_semi")
+        rows = lookup_join(waiting, arrived, "customer_id", "left_semi")
         self._gold[name].upsert(build(rows, customers), task, batch_id)
 
     # ---- files -----------------------------------------------------------------------------

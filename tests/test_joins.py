@@ -25,7 +25,7 @@ def test_hot_keys(spark):
 
 def test_both_ways_agree(spark, forced_shuffle):
     rows, table = skewed(spark)
-    for how in ("inner", "left"):
+    for how in ("inner", "left", "left_semi"):
         want = values(rows.join(table, "k", how))
         got = joins.lookup_join(rows, table, "k", how)
         assert values(got) == want

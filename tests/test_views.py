@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clientele import queries
 from clientele.functions.temporal import date_of
+from clientele.plans.gold import read_gold, write_gold
 from clientele.plans.tables import Tables
 from clientele.plans.views import VIEWS, register_views
 
@@ -124,3 +125,17 @@ def test_calendar_covers_every_key(gold):
         assert keys.join(gold.dim_date, "date_id_sk", "left_anti").count() == 0
     wrong = gold.dim_date.where(date_of(F.col("date_id_sk")) != F.col("dates"))
     assert wrong.count() == 0
+
+
+def test_written_gold_gives_the_same_views(spark, gold, tmp_path):
+    write_gold(gold, str(tmp_path))
+    back = read_gold(spark, str(tmp_path))
+    for name in gold:
+        columns = sorted(getattr(gold, name).columns)
+        assert sorted(getattr(back, name).columns) == columns
+        assert values(getattr(back, name), *columns) == values(getattr(gold, name), *columns)
+    one_month = spark.read.parquet(f"{tmp_path}/fact_transactions").where("month = 202401")
+    plan = one_month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    view = "customer_lifetime_value"
+    assert values(VIEWS[view](back)) == values(VIEWS[view](gold))
