@@ -470,6 +470,13 @@ def oracle_sql() -> dict[str, str]:
     strict_parts = {**FEEDS, **STRICT_SILVER, **STRICT_GOLD}
     bodies = {**OPERATORS, **VIEWS}
     out = {name: _chain(_needed(parts, sql), sql) for name, sql in bodies.items()}
+    # keyed operations take whole ids
+    whole = SILVER["s_transactions"].replace(
+        "substr(trim(transaction_id), 1, 6)", "trim(transaction_id)"
+    )
+    for name in ("upsert_transactions", "transaction_surrogates"):
+        body = bodies[name]
+        out[name] = _chain(_needed({**parts, "s_transactions": whole}, body), body)
     # the streams must end where the batch does
     out["streamed_lifetime_value"] = out["customer_lifetime_value"]
     out["streamed_resolution_count"] = out["resolution_ticket_count"]

@@ -108,11 +108,11 @@ def clean_transactions(
     df: DataFrame,
     customers: DataFrame | None = None,
     strict: bool = False,
-    id_length: int = 6,
+    id_length: int | None = 6,
 ) -> DataFrame:
     """Rows without one of the six required fields are dropped.
 
-    The id is cut to `id_length`, the width the table declares.
+    The id is cut to `id_length`, the width the table declares; None keeps it whole.
     """
     place = F.trim("store_location")
     code = comma_part(place, 2)
@@ -123,8 +123,9 @@ def clean_transactions(
     when = whole_seconds(when.cast("timestamp_ntz")) if typed else lenient_timestamp(when)
     # raw columns are tested, so the filter does not evaluate what the projection computes
     given = df.where(all_given(REQUIRED["transactions"]))
+    tx_id = F.trim("transaction_id")
     rows = given.select(
-        F.substring(F.trim("transaction_id"), 1, id_length).alias("transaction_id"),
+        (tx_id if id_length is None else F.substring(tx_id, 1, id_length)).alias("transaction_id"),
         key.alias("customer_id"),
         when.alias("transaction_date"),
         F.col("amount").try_cast(MONEY).alias("amount"),

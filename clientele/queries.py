@@ -156,7 +156,8 @@ def session_row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transaction_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, distinct surrogates and the smallest one, of the gap-tolerant assignment."""
-    rows = silver(spark, sf_dir, "transactions").select("transaction_id")
+    loaded = bronze(spark, sf_dir, "transactions")
+    rows = CLEAN["transactions"](loaded, id_length=None).select("transaction_id")
     keyed = assign_sk(rows, "transaction_id", "transaction_id_sk", BUCKETS)
     return keyed.agg(
         F.count("*").alias("row_count"),
@@ -167,10 +168,12 @@ def transaction_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First the old transactions, then the whole table again with corrected amounts."""
-    spec = SPECS["transactions"]
-    first = silver(spark, sf_dir, "transactions").where("transaction_date < '2021-01-01'")
+    spec, clean = SPECS["transactions"], CLEAN["transactions"]
+    # whole ids: cut ones would meet in a large table
+    loaded = clean(bronze(spark, sf_dir, "transactions"), id_length=None)
+    first = loaded.where("transaction_date < '2021-01-01'")
     corrected = feeds.transactions(spark, sf_dir, corrected=True)
-    second = CLEAN["transactions"](INGEST["transactions"](corrected, SECOND_LOAD))
+    second = clean(INGEST["transactions"](corrected, SECOND_LOAD), id_length=None)
     table = merge_rows(empty_table(spark, spec), first, spec, BUCKETS, FIRST_LOAD)
     merged = merge_rows(table, second, spec, BUCKETS, SECOND_LOAD)
     return merged.drop("_bucket", spec.surrogate).withColumnRenamed("_change", "change")
@@ -231,7 +234,8 @@ def _streamed(view: str, feeds_used: tuple[str, ...]) -> Query:
             rows = INGEST[feed](raw(spark, sf_dir, feed))
             size = max(size, estimated_bytes(rows))
             append_raw(rows, path)
-        warehouse = Warehouse(spark, f"{root}/warehouse", buckets_for(size))
+        # ids grow longer with the tables, so no declared lengths here
+        warehouse = Warehouse(spark, f"{root}/warehouse", buckets_for(size), lengths={})
         warehouse.cycle(landing)
         return VIEWS[view](warehouse.gold())
 

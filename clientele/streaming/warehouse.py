@@ -7,7 +7,7 @@ consumer sees every row once, whatever the others have read. Batches are replaye
 every write is either a folder named by batch or a keyed upsert that knows the batch.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,7 +65,11 @@ DATE_COLUMNS = {
 
 
 class Warehouse:
-    """`buckets` sizes new tables, see `buckets_for`; `files_per_batch` bounds a batch."""
+    """`buckets` sizes new tables, see `buckets_for`; `files_per_batch` bounds a batch.
+
+    `lengths` are the declared lengths of silver columns by feed. Rows with longer values are set
+    aside, and transaction ids are cut; {} takes ids of any length.
+    """
 
     def __init__(
         self,
@@ -74,8 +78,10 @@ class Warehouse:
         buckets: int = 8,
         strict: bool = False,
         files_per_batch: int | None = None,
+        lengths: Mapping[str, Mapping[str, int]] = quality.LENGTHS,
     ):
         self.spark, self.root, self.strict = tune(spark), root.rstrip("/"), strict
+        self._lengths = lengths
         self._limits = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
         self._silver = {f: self._table("silver", f, s, buckets) for f, s in SPECS.items()}
         self._gold = {g: self._table("gold", g, s, buckets) for g, s in GOLD_SPECS.items()}
@@ -176,18 +182,35 @@ class Warehouse:
     def cycle(self, landing: dict[str, str], **options: str) -> None:
         """One pass over everything that is new, customers first; then return."""
         feeds = [f for f in FEEDS if f in landing]
-        for feed in feeds:
-            self.load(feed, landing[feed], **options).awaitTermination()
-        for step in (self.merge, self.refresh):
-            for feed in feeds:
-                step(feed).awaitTermination()
+        self._finish([self.load(f, landing[f], **options) for f in feeds])
+        children = [f for f in feeds if f != "customers"]
+        if "customers" in feeds:
+            self._finish([self.merge("customers")])
+        self._finish([self.merge(f) for f in children])
+        for feed in feeds:  # all of them write the calendar, so one at a time
+            self._finish([self.refresh(feed)])
+
+    @staticmethod
+    def _finish(queries: list[StreamingQuery]) -> None:
+        """Wait for all; an error of one is raised after the others are done."""
+        errors = []
+        for query in queries:
+            try:
+                query.awaitTermination()
+            except Exception as e:
+                errors.append(e)
+        if errors:
+            raise errors[0]
 
     # ---- batches ---------------------------------------------------------------------------
 
     def _clean(self, feed: str, rows: DataFrame) -> DataFrame:
         if feed == "customers":
             return CLEAN[feed](rows, strict=self.strict)
-        return CLEAN[feed](rows, self._silver["customers"].read(), strict=self.strict)
+        options = {"strict": self.strict}
+        if feed == "transactions":
+            options["id_length"] = self._lengths.get(feed, {}).get("transaction_id")
+        return CLEAN[feed](rows, self._silver["customers"].read(), **options)
 
     def _rules(self, feed: str) -> dict:
         required = schemas.SILVER[feed].fieldNames()
@@ -195,7 +218,7 @@ class Warehouse:
             required = [c for c in required if not c.startswith("resol")]
         return {
             **quality.not_null_rules(required),
-            **quality.length_rules(quality.LENGTHS[feed]),
+            **quality.length_rules(self._lengths.get(feed, {})),
         }
 
     def _refresh(self, feed: str, changes: DataFrame, task: str, batch_id: int) -> None:
@@ -221,6 +244,8 @@ class Warehouse:
         """Rows that came before their customer enter gold when the customer does."""
         name, build, customer_sk = CHILDREN[feed]
         waiting = self._silver[feed].read().where(F.col(customer_sk) == UNKNOWN_CUSTOMER)
+        if waiting.isEmpty():
+            return
         rows = lookup_join(waiting, arrived, "customer_id", "left_semi")
         self._gold[name].upsert(build(rows, customers), task, batch_id)
 

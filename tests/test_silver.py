@@ -65,8 +65,9 @@ def test_transactions_from_loaded_text(spark):
 
 def test_id_length_is_a_parameter(spark):
     raw = ("1234567", "c", "2024-01-01", "1", "UPI", "A, TX")
-    df = clean_transactions(bronze(spark, "transactions", raw), id_length=12)
-    assert df.first().transaction_id == "1234567"
+    for length, want in ((12, "1234567"), (None, "1234567"), (3, "123")):
+        df = clean_transactions(bronze(spark, "transactions", raw), id_length=length)
+        assert df.first().transaction_id == want
 
 
 def test_support_open_ticket_and_score(spark):
