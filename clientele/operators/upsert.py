@@ -146,7 +146,9 @@ def buckets_for(size: int, per_bucket: int = 512 << 20) -> int:
 
 
 def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+    # a range of no rows: the optimizer knows its size, so joins with it are planned as small
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+    return spark.range(0).select(columns)
 
 
 @dataclass
