@@ -114,8 +114,7 @@ def clean_transactions(
 
     The id is cut to `id_length`, the width the table declares; None keeps it whole.
     """
-    place = F.trim("store_location")
-    code = comma_part(place, 2)
+    place, code = F.trim("store_location"), F.col("_code")
     key = F.trim("customer_id") if strict else business_key(F.col("customer_id"))
     when = F.col("transaction_date")
     # loaded rows carry the date as text; a typed one needs no parsing
@@ -124,7 +123,8 @@ def clean_transactions(
     # raw columns are tested, so the filter does not evaluate what the projection computes
     given = df.where(all_given(REQUIRED["transactions"]))
     tx_id = F.trim("transaction_id")
-    rows = given.select(
+    # a column of its own: used twice below, split once
+    rows = given.withColumn("_code", comma_part(place, 2)).select(
         (tx_id if id_length is None else F.substring(tx_id, 1, id_length)).alias("transaction_id"),
         key.alias("customer_id"),
         when.alias("transaction_date"),
