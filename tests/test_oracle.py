@@ -5,11 +5,13 @@ import re
 import pytest
 from conftest import SF
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import compare, connect
+from checks.oracle import oracle_sql
 from clientele.plans.views import VIEWS
+from clientele.queries import registry
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = registry(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
