@@ -93,6 +93,30 @@ WITH RECURSIVE d AS (
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies FROM c
 """
 
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+), u AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS n FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.n * b.n) >= 0.98
+), reach(a, b) AS (
+  SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+), c AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), n AS (
+  SELECT a, count(*) AS n FROM l GROUP BY a
+)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(c.b, vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a
+"""
+
 OP7 = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
@@ -109,4 +133,4 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
 FROM k LEFT JOIN f ON k.k = f.k GROUP BY doc_id
 """
 
-SQL = {"op1_quality_rules": OP1, "op3_source_mixing": OP3, "op7_line_dedup": OP7}
+SQL = {"op1_quality_rules": OP1, "op3_source_mixing": OP3, "op5_embedding_dedup": OP5, "op7_line_dedup": OP7}

@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientele.llm.embedding_dedup import embedding_dedup
 from clientele.llm.line_dedup import drop_shared_lines
 from clientele.llm.lines import word_count
 from clientele.llm.mixing import mix_sources
@@ -32,6 +33,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_shared_lines(table(spark, sf_dir, "documents"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -41,5 +47,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_source_mixing": op3_source_mixing,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op7_line_dedup": op7_line_dedup,
 }
