@@ -58,6 +58,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM s
 """
 
+OP2 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{WORD}') AS w FROM documents
+), e AS (
+  SELECT doc_id, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END)) AS p, w
+  FROM d
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS g FROM e
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * i >= 75 * (x.n + y.n - i)
+), reach(a, b) AS (
+  SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+), c AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
+  least(d.doc_id, coalesce(c.b, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.a
+"""
+
 OP3 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
@@ -133,4 +159,10 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
 FROM k LEFT JOIN f ON k.k = f.k GROUP BY doc_id
 """
 
-SQL = {"op1_quality_rules": OP1, "op3_source_mixing": OP3, "op5_embedding_dedup": OP5, "op7_line_dedup": OP7}
+SQL = {
+    "op1_quality_rules": OP1,
+    "op2_ngram_jaccard_join": OP2,
+    "op3_source_mixing": OP3,
+    "op5_embedding_dedup": OP5,
+    "op7_line_dedup": OP7,
+}

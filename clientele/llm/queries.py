@@ -9,6 +9,7 @@ from clientele.llm.embedding_dedup import embedding_dedup
 from clientele.llm.line_dedup import drop_shared_lines
 from clientele.llm.lines import word_count
 from clientele.llm.mixing import mix_sources
+from clientele.llm.ngram_join import ngram_jaccard_components
 from clientele.llm.quality_rules import STATS, quality_rules
 from clientele.llm.scratch import Scratch
 
@@ -24,6 +25,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *STATS, "base_failed", "kept", "n_boiler_words")
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # words are counted once: the operator passes over the sizes several times
@@ -46,6 +51,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_source_mixing": op3_source_mixing,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op7_line_dedup": op7_line_dedup,
