@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 #: Bytes hashed at once; a longer single word is hashed in one go.
 STRIDE = 1 << 20
 #: Bytes of text handled at once; a longer single document is handled alone.
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -388,3 +388,37 @@ def ngram_jaccard_components(
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"),
     )
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 75,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The documents without those that are linked to one of a smaller id; see above for links.
+
+    Rows that repeat an id are one document, of which one row stays: the one whose text is first in
+    order. Rows without an id all stay.
+    """
+    scratch = Scratch(docs.sparkSession, "ngram-keep")
+    found = ngram_jaccard_components(docs, width, percent, doc_id, text, broadcast_bytes)
+    ids = found.select(F.col(doc_id).alias("gone"), "component_id").where("gone is not null")
+    ids = scratch.write(ids, "components")
+    gone = ids.where("gone <> component_id").select("gone").distinct()
+    gone = scratch.write(gone, "gone")
+    twice = ids.where("gone = component_id").groupBy("gone").agg(F.count("*").alias("c"))
+    twice = scratch.write(twice.where("c > 1").select("gone"), "twice")
+    same = docs[doc_id].cast("long") == F.col("gone")
+    kept = docs.join(scratch.joinable(gone, broadcast_bytes), same, "left_anti")
+    if not twice.take(1):
+        return kept
+    alike = kept[doc_id].cast("long") == F.col("gone")
+    once = kept.join(scratch.joinable(twice, broadcast_bytes), alike, "left_anti")
+    many = kept.join(scratch.joinable(twice, broadcast_bytes), alike, "left_semi")
+    first = many.groupBy(F.col(doc_id).cast("long").alias("_id")).agg(
+        F.min_by(F.struct("*"), F.struct(F.col(text).isNull(), F.col(text))).alias("_row")
+    )
+    return once.unionByName(first.select("_row.*"))

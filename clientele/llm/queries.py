@@ -10,9 +10,14 @@ from clientele.llm.line_dedup import drop_shared_lines
 from clientele.llm.lines import word_count
 from clientele.llm.mixing import mix_sources
 from clientele.llm.ngram_join import ngram_jaccard_components
+from clientele.llm.ngram_quality import quality_classifier
+from clientele.llm.piece_codec import encode_pieces
 from clientele.llm.quality_rules import STATS, quality_rules
 from clientele.llm.scratch import Scratch
 
+#: The vocabulary file of op4 and of the pipeline; read, never copied.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -38,6 +43,11 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_pieces(docs, PIECE_MODEL).drop("text")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dedup(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", "kept")
@@ -49,10 +59,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality_classifier(docs, labels)
+    return found.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_source_mixing": op3_source_mixing,
+    "op4_piece_encoding": op4_piece_encoding,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
 }
