@@ -159,10 +159,23 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
 FROM k LEFT JOIN f ON k.k = f.k GROUP BY doc_id
 """
 
+OP8 = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS b, sha1(coalesce(html, '')) AS g FROM pages
+), m AS (
+  SELECT *, CASE WHEN b >= 1000 THEN max(page_id) OVER (PARTITION BY g, b) END AS last FROM p
+)
+SELECT page_id, b AS payload_bytes, g AS payload_digest,
+  CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < last THEN last END AS refers_to
+FROM m
+"""
+
 SQL = {
     "op1_quality_rules": OP1,
     "op2_ngram_jaccard_join": OP2,
     "op3_source_mixing": OP3,
     "op5_embedding_dedup": OP5,
     "op7_line_dedup": OP7,
+    "op8_warc": OP8,
 }
