@@ -195,7 +195,9 @@ class Codec:
         first[offsets] = True
         if self.splits and len(data):
             space = data == SPACE
-            first[1:-1] |= space[1:] & ~space[:-1]
+            # the mark itself in a text stands for a space, too
+            space[2:] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+            first[1:-1] |= (data[1:] == SPACE) & ~space[:-1]
         at = np.flatnonzero(first)
         return at[:-1], at[1:]
 
@@ -266,7 +268,8 @@ def _encode_job(model):
 def encode_pieces(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """Token ids of each text, by the best sum of piece scores.
 
-    A space is the mark U+2581, and one is put in front of a text that is not empty. Of equal scores
+    A space is the mark U+2581 (which a text may not be told from, so such a text makes no round
+    trip), and one is put in front of a text that is not empty. Of equal scores
     the piece that starts first wins. A character that no piece covers scores 10 below the worst piece
     and becomes the pieces of its UTF-8 bytes (or the unknown piece where the model has none). Where
     no piece goes on after a space, texts are cut before spaces, and equal chunks are encoded once.

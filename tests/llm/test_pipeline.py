@@ -1,0 +1,105 @@
+"""The pipeline against its stages in plain Python, and on odd rows."""
+
+import math
+
+import corpus_pipeline as cp
+import plain
+import pytest
+from pyspark.sql import functions as F
+
+from clientele.llm.piece_codec import Model
+from clientele.llm.queries import PIECE_MODEL
+
+SF = "/root/testdata/sf0.001"
+
+
+def kept_by_classifier(rows, labels, training, least=30):
+    """rows: (id, text, lang)."""
+    good = {}
+    for i, quality, toxic in labels:
+        good[i] = good.get(i, True) and quality == 1 and toxic == 0
+    trusted = {i for i, ok in good.items() if ok}
+    model = plain.KneserNey([t for i, t, _ in rows if i in trusted and i in training])
+    bits = {i: model.bits(t) for i, t, _ in rows if t}
+    groups = {}
+    for i, t, lang in rows:
+        if t and i in trusted and i not in training:
+            size = int(math.log2(len(t.encode())))
+            for g in ((), (lang,), (lang, size)):
+                groups.setdefault(g, []).append(bits[i])
+
+    def limit(lang, size):
+        for g in ((lang, size), (lang,), ()):
+            values = sorted(groups.get(g, []))
+            if values and (len(values) >= least or not g):
+                at = values[math.ceil(0.99 * len(values)) - 1]
+                return math.ceil(at * 512) / 512 + math.log2(1.05)
+        return math.inf
+
+    return [
+        i for i, t, lang in rows if t and bits[i] <= limit(lang, int(math.log2(len(t.encode()))))
+    ]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The rows after each stage."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for _, stage in cp.STAGES:
+        out.append(stage(spark, out[-1], SF).cache())
+    return [sorted(f.collect(), key=lambda r: r.doc_id) for f in out]
+
+
+def test_stages_equal_plain_ones(spark, stages):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    half = labels.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(2)) == 0)
+    training = {r.doc_id for r in half.collect()}
+    raw, good, lines, single, mixed, encoded = stages
+    want = kept_by_classifier(
+        [(r.doc_id, r.text, r.lang) for r in raw], [tuple(r) for r in labels.collect()], training
+    )
+    assert [r.doc_id for r in good] == sorted(want)
+    assert 0.7 * len(raw) < len(good) < len(raw)
+
+    dropped = plain.drop_shared_lines([(r.doc_id, r.text) for r in good])
+    assert [(r.doc_id, r.text) for r in lines] == [(i, t) for i, t, _, _ in dropped]
+    assert all(r.n_chars == len(r.text) for r in lines)
+
+    component = plain.jaccard_components([(r.doc_id, r.text) for r in lines])
+    assert [r.doc_id for r in single] == [r.doc_id for r in lines if component[r.doc_id] == r.doc_id]
+
+    _, _, _, copies = plain.mix([(r.doc_id, r.source, r.text) for r in single])
+    assert [r.doc_id for r in mixed] == [
+        r.doc_id for p, r in enumerate(single) for _ in range(copies[p])
+    ]
+
+    with open(PIECE_MODEL, "rb") as f:
+        model = Model.parse(f.read())
+    assert len(encoded) == len(mixed) and all(r.round_trip for r in encoded)
+    for r in encoded[::25]:
+        assert r.token_ids[:40] == plain.best_pieces(r.text[:400], model)[:40]
+
+
+def test_stages_keep_the_columns(stages):
+    columns = stages[0][0].__fields__
+    assert all(rows[0].__fields__ == columns for rows in stages[1:-1])
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    found = sorted(cp.run(spark, SF).collect(), key=lambda r: r.doc_id)
+    assert found == stages[-1]
+
+
+def test_stages_on_odd_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, k1 int, size string"
+    text = "and the of to in is that for it was on are as with his they at be this have from or"
+    rows = [
+        (1, text, "en", "a", 1, 1, "x"), (1, text, "en", "a", 1, 1, "x"), (None, text, None, None, None, None, None),
+        (2, None, "en", "a", 0, 1, "x"), (3, "", "xx", "b", 0, 1, "x"), (4, "one two " * 5000, "en", "b", 0, 1, "x"),
+    ]
+    for name, stage in cp.STAGES:
+        for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+            out = stage(spark, docs, SF)
+            assert out.columns[:7] == docs.columns, name
+            assert out.count() <= 2 * docs.count(), name
