@@ -37,7 +37,7 @@ FEEDS = {
         FROM customer""",
     "f_transactions": f"""
         SELECT {pad('o_orderkey', 6)} AS transaction_id,
-               CASE WHEN o_orderkey % 97 = 0 OR o_custkey % 25 = 0 THEN '99999'
+               CASE WHEN o_orderkey % 97 = 0 OR o_custkey % 25 = 0 THEN 'GUEST'
                     ELSE {pad('o_custkey', 5)} END AS customer_id,
                CAST(o_orderdate AS DATE) + 8218 AS transaction_date,
                CASE WHEN o_orderkey % 101 <> 0
@@ -50,7 +50,7 @@ FEEDS = {
         FROM orders""",
     "f_support": f"""
         SELECT 'T' || {pad('event_id', 6)} AS ticket_id,
-               CASE WHEN event_id % 89 = 0 THEN '99999' ELSE {pad('user_id', 5)} END
+               CASE WHEN event_id % 89 = 0 THEN 'GUEST' ELSE {pad('user_id', 5)} END
                     AS customer_id,
                ts AS created_at,
                CASE WHEN event_id % 53 <> 0
@@ -108,7 +108,7 @@ SILVER = {
                signup_date
         FROM f_customers""",
     "s_transactions": f"""
-        SELECT substr(trim(transaction_id), 1, 6) AS transaction_id,
+        SELECT trim(transaction_id) AS transaction_id,
                upper(trim(customer_id)) AS customer_id,
                CAST(transaction_date AS TIMESTAMP) AS transaction_date, amount,
                trim(payment_method) AS payment_method,
@@ -470,13 +470,6 @@ def oracle_sql() -> dict[str, str]:
     strict_parts = {**FEEDS, **STRICT_SILVER, **STRICT_GOLD}
     bodies = {**OPERATORS, **VIEWS}
     out = {name: _chain(_needed(parts, sql), sql) for name, sql in bodies.items()}
-    # keyed operations take whole ids
-    whole = SILVER["s_transactions"].replace(
-        "substr(trim(transaction_id), 1, 6)", "trim(transaction_id)"
-    )
-    for name in ("upsert_transactions", "transaction_surrogates"):
-        body = bodies[name]
-        out[name] = _chain(_needed({**parts, "s_transactions": whole}, body), body)
     # the streams must end where the batch does
     out["streamed_lifetime_value"] = out["customer_lifetime_value"]
     out["streamed_resolution_count"] = out["resolution_ticket_count"]

@@ -5,17 +5,23 @@ from datetime import timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Day zero of spreadsheet serial dates, and the serial days a nanosecond clock can hold.
+# Day zero of spreadsheet serial dates; the serial days of years 1 to 9999, and those
+# that a nanosecond clock can hold.
 SERIAL_ORIGIN = "1899-12-30"
-SERIAL_MIN, SERIAL_MAX = -81182, 132320
+SERIAL_MIN, SERIAL_MAX = -693593, 2958465
+CLOCK_MIN, CLOCK_MAX = -81182, 132320
 
 
-def serial_to_timestamp(c: Column) -> Column:
-    """Spreadsheet serial day (fraction = time of day) to timestamp; unusable input gives null."""
+def serial_to_timestamp(c: Column, strict: bool = False) -> Column:
+    """Spreadsheet serial day (fraction = time of day) to timestamp; unusable input gives null.
+
+    `strict` takes the days of a nanosecond clock only.
+    """
+    first, last = (CLOCK_MIN, CLOCK_MAX) if strict else (SERIAL_MIN, SERIAL_MAX)
     days = c.try_cast("double")
     # to the nearest millisecond: a serial day holds a second only approximately
     millis = F.floor(days * 86_400_000 + 0.5)
-    usable = F.when(days.between(SERIAL_MIN, SERIAL_MAX), millis)
+    usable = F.when(days.between(first, last), millis)
     origin = F.lit(SERIAL_ORIGIN).cast("timestamp_ntz")
     return origin + F.lit(timedelta(milliseconds=1)) * usable
 

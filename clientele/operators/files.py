@@ -1,5 +1,7 @@
 """Small control files on whatever file system a path lives on."""
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -30,14 +32,31 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; parents are made. An existing target is an error."""
+    fs, p = _fs(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(p, target):
+        raise FileExistsError(f"{to} is there already")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write under a temporary name, then rename: a reader sees all of it or nothing."""
+    """Write under a name of its own, then rename: a reader sees all of it or nothing."""
     fs, p = _fs(spark, path)
-    hidden = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.tmp")
-    stream = fs.create(hidden, True)
+    hidden = f"{p.getParent()}/_{p.getName()}.{uuid.uuid4().hex}"
+    stream = fs.create(spark._jvm.org.apache.hadoop.fs.Path(hidden), False)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    if not fs.rename(hidden, p):
-        raise FileExistsError(f"{path} was written by another job")
+    try:
+        move(spark, hidden, path)
+    except FileExistsError:
+        remove(spark, hidden)
+        raise

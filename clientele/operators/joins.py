@@ -1,5 +1,7 @@
 """Lookup join: many rows against a table with one row per key."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +15,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    digits = text.lower().removesuffix("b")
-    units = {"k": 10, "m": 20, "g": 30}
-    if digits[-1] in units:
-        return int(digits[:-1]) << units[digits[-1]]
-    return int(digits)
-
-
 def hot_keys(rows: DataFrame, key: str) -> list:
     """Keys that hold a large share of the rows: at most MAX_HOT_KEYS values.
 
@@ -47,22 +40,23 @@ def hot_keys(rows: DataFrame, key: str) -> list:
     return [r["item"] for r in top.where(F.col("count") >= F.col("n") * HOT_SHARE).collect()]
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def lookup_join(
+    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", hot: Sequence = ()
+) -> DataFrame:
     """Join `rows` to `table`, which has one row per `key`; `how` is inner, left or left_semi.
 
-    A table the optimizer sizes below the broadcast threshold is joined by Spark's own choice,
-    a broadcast, and rows are not shuffled. Otherwise the rows of hot keys (and null keys) are
-    joined to the few table rows they need, which are at most MAX_HOT_KEYS and thus safe to
-    broadcast, and only the other rows are shuffled.
+    Spark chooses: a table below its broadcast threshold is broadcast; else rows are shuffled, and
+    adaptive execution splits partitions that a hot key makes large. Keys known to be hot (see
+    `hot_keys`, which runs a job, so find them once and keep them) can be given: their rows, and
+    those without key, are then not shuffled, but meet the few table rows they need by broadcast.
     """
-    if estimated_bytes(table) <= broadcast_limit(table):
-        return rows.join(table, key, how)
-    keys = hot_keys(rows, key)
-    if not keys:
+    if not hot:
         return rows.join(table, key, how)
-    listed = F.col(key).isin(keys)
-    hot = rows.where(F.col(key).isNull() | listed).join(
+    if len(hot) > MAX_HOT_KEYS:
+        raise ValueError(f"at most {MAX_HOT_KEYS} keys can be joined apart")
+    listed = F.col(key).isin(list(hot))
+    apart = rows.where(F.col(key).isNull() | listed).join(
         F.broadcast(table.where(listed)), key, how
     )
     cold = rows.where(~listed).join(table.where(~listed), key, how)
-    return hot.unionByName(cold)
+    return apart.unionByName(cold)

@@ -1,6 +1,7 @@
 """Run log: one finished row per task run."""
 
 import uuid
+import warnings
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -9,7 +10,16 @@ from pyspark.sql import functions as F
 
 from clientele.operators import files
 from clientele.schemas import RUN_LOG
-from clientele.sources.audit import stamp
+from clientele.sources.audit import session_now, stamp
+
+
+def _log(spark: SparkSession, path: str, row: tuple) -> None:
+    """A folder of its own for each run, so that runs side by side do not meet."""
+    try:
+        log = spark.createDataFrame([row], RUN_LOG)
+        log.coalesce(1).write.parquet(f"{path}/run-{row[0]}")
+    except Exception as e:  # the task's own result stands, whatever becomes of its log
+        warnings.warn(f"run {row[0]} of {row[1]} is not in the log: {e}", stacklevel=2)
 
 
 def run_logged(
@@ -20,7 +30,7 @@ def run_logged(
     `rows` is what the task was given. Counting a batch of Parquet files before any transform
     reads their footers only.
     """
-    start = datetime.now()
+    start = session_now(spark)
     status, error = "SUCCESS", None
     try:
         work()
@@ -29,9 +39,7 @@ def run_logged(
         raise
     finally:
         done = rows if status == "SUCCESS" else None
-        row = (uuid.uuid4().hex, task, start, datetime.now(), status, done, error)
-        log = spark.createDataFrame([row], RUN_LOG)
-        log.coalesce(1).write.mode("append").parquet(path)
+        _log(spark, path, (uuid.uuid4().hex, task, start, session_now(spark), status, done, error))
 
 
 def run_history(
@@ -44,9 +52,10 @@ def run_history(
     """Runs of the named tasks that started within the last hours."""
     if not files.exists(spark, path):
         return spark.createDataFrame([], RUN_LOG)
-    since = stamp(as_of or datetime.now()) - F.lit(timedelta(hours=hours))
+    since = stamp(as_of) - F.lit(timedelta(hours=hours))
     return (
         spark.read.schema(RUN_LOG)
+        .option("recursiveFileLookup", "true")
         .parquet(path)
         .where((F.col("execution_start") >= since) & F.col("task_name").isin(tasks))
     )

@@ -1,6 +1,9 @@
 """Keyed upsert, as a frame and as a versioned folder of Parquet files."""
 
 import json
+import threading
+import uuid
+from collections import defaultdict
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -18,6 +21,9 @@ from clientele.sources.audit import stamp
 
 INSERT, UPDATE = "insert", "update_postimage"
 
+# Publishing is one at a time per table within this driver.
+_PUBLISHING: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -153,11 +159,11 @@ def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 @dataclass
 class Manifest:
-    """Which version folder holds each bucket, and the last batch applied per writer."""
+    """Which folder holds each bucket, and the last batch applied per writer."""
 
     version: int = 0
     buckets: int = 8
-    homes: dict[int, int] = field(default_factory=dict)
+    homes: dict[int, str] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
 
     def dump(self) -> str:
@@ -173,11 +179,15 @@ class Manifest:
 class KeyedTable:
     """A keyed table in a folder, for where no table format with MERGE is at hand.
 
-    `data/v-N/_bucket=B/_change=C` holds the rows of hash bucket B that version N inserted, updated
-    or carried over; `versions/N.json` says which version is home to which bucket. An upsert reads
-    and rewrites only the buckets its rows fall into; the version file, written last, makes it
+    `data/v-N-ID/_bucket=B/_change=C` holds the rows of hash bucket B that version N inserted,
+    updated or carried over; `versions/N.json` says which folder is home to which bucket. An upsert
+    reads and rewrites only the buckets its rows fall into; the version file, written last, makes it
     visible at once. A batch that is applied already is skipped, so a replay after a failure
-    changes nothing. One writer at a time.
+    changes nothing.
+
+    Writers may run side by side: each writes a folder of its own outside `data`, which is moved there
+    only if no other version came between; else the upsert is done anew on that version. A version
+    file is never replaced.
 
     `buckets` is fixed when the table is made; see `buckets_for`.
     """
@@ -197,8 +207,8 @@ class KeyedTable:
 
     def _read(self, manifest: Manifest, only: set[int] | None) -> DataFrame:
         folders = [
-            f"{self.path}/data/v-{version}/_bucket={bucket}"
-            for bucket, version in sorted(manifest.homes.items())
+            f"{self.path}/data/{home}/_bucket={bucket}"
+            for bucket, home in sorted(manifest.homes.items())
             if only is None or bucket in only
         ]
         if not folders:
@@ -207,15 +217,19 @@ class KeyedTable:
         return reader.parquet(*folders)
 
     def read_changes(self, **options) -> DataFrame:
-        """Stream of the rows that versions inserted or updated, with `_change`.
+        """Stream of the rows that versions inserted or updated, with `_change` and `_version`.
 
-        A version that was written but not published is written again under other file names, so
-        files may vanish and rows may come twice; consumers upsert.
+        A version that was moved into place but not published is written again under other names, so
+        rows may come twice; consumers upsert, newest `_version` first.
         """
         reader = self.spark.readStream.schema(self.spec.schema).options(**options)
         rows = reader.option("ignoreMissingFiles", "true").parquet(f"{self.path}/data/*/*/_change=[iu]*")
-        change = F.regexp_extract(F.col("_metadata.file_path"), "_change=([a-z_]+)", 1)
-        return rows.select("*", change.alias("_change"))
+        file = F.col("_metadata.file_path")
+        return rows.select(
+            "*",
+            F.regexp_extract(file, "_change=([a-z_]+)", 1).alias("_change"),
+            F.regexp_extract(file, "/data/v-([0-9]+)-", 1).cast("long").alias("_version"),
+        )
 
     def upsert(
         self,
@@ -229,30 +243,48 @@ class KeyedTable:
 
         `source` may hold several rows of a key; the newest by `order` counts.
         """
-        manifest = self.manifest()
-        if batch is not None and manifest.applied.get(writer, -1) >= batch:
-            return None
+        if order in source.columns:
+            source = newest_per_key(source, self.spec.key, order)
+        while True:
+            manifest = self.manifest()
+            if batch is not None and manifest.applied.get(writer, -1) >= batch:
+                return None
+            version = self._try(manifest, source, writer, batch, as_of)
+            if version is not None:
+                return version
+
+    def _try(self, manifest, source, writer, batch, as_of) -> int | None:
+        """One upsert on top of a version; None if another one was published meanwhile."""
         version, buckets = manifest.version + 1, manifest.buckets
-        data = f"{self.path}/data/v-{version}"
+        name = f"v-{version:012d}-{uuid.uuid4().hex}"
+        attempt = f"{self.path}/attempts/{name}"
         # into an empty table there is nothing to look up; the source is then read once
         touched = self._buckets_of(source, buckets) if manifest.homes else set()
-        if order in source.columns:
-            source = newest_per_key(source, self.spec.key, order)
         homes = dict(manifest.homes)
+        found: set[int] = set()
         if touched or not homes:
             target = self._read(manifest, touched)
-            merged = merge_rows(target, source, self.spec, buckets, as_of or datetime.now())
+            merged = merge_rows(target, source, self.spec, buckets, as_of)
             layout = merged.withColumn("_change", F.coalesce("_change", F.lit("none")))
-            writer_ = layout.write.mode("overwrite").partitionBy("_bucket", "_change")
-            writer_.parquet(data)
-            written = files.names(self.spark, data)
+            layout.write.partitionBy("_bucket", "_change").parquet(attempt)
+            written = files.names(self.spark, attempt)
             found = {int(n.split("=")[1]) for n in written if n.startswith("_bucket=")}
-            homes.update(dict.fromkeys(found, version))
+            homes.update(dict.fromkeys(found, name))
         applied = dict(manifest.applied)
         if batch is not None:
             applied[writer] = batch
         done = Manifest(version, buckets, homes, applied)
-        files.write_text(self.spark, f"{self.path}/versions/{version:012d}.json", done.dump())
+        with _PUBLISHING[self.path]:
+            if self.manifest().version != manifest.version:
+                files.remove(self.spark, attempt)
+                return None
+            if found:
+                files.move(self.spark, attempt, f"{self.path}/data/{name}")
+            try:
+                files.write_text(self.spark, f"{self.path}/versions/{version:012d}.json", done.dump())
+            except FileExistsError:  # by another driver
+                files.remove(self.spark, f"{self.path}/data/{name}")
+                return None
         return version
 
     def _buckets_of(self, source: DataFrame, buckets: int) -> set[int]:

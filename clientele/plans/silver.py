@@ -108,11 +108,11 @@ def clean_transactions(
     df: DataFrame,
     customers: DataFrame | None = None,
     strict: bool = False,
-    id_length: int | None = 6,
+    id_length: int | None = None,
 ) -> DataFrame:
     """Rows without one of the six required fields are dropped.
 
-    The id is cut to `id_length`, the width the table declares; None keeps it whole.
+    The id stays whole; `id_length` cuts it, for ids that carry a suffix of known place.
     """
     place, code = F.trim("store_location"), F.col("_code")
     key = F.trim("customer_id") if strict else business_key(F.col("customer_id"))

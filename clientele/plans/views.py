@@ -163,7 +163,8 @@ def churn_rate_by_location(gold: Tables) -> DataFrame:
         )
     )
     count = F.col("churned_customers")
-    places_with_churn = by_place.where(count > 0).agg(F.count("*")).scalar()
+    # over one row per place
+    places_with_churn = F.count_if(count > 0).over(W.partitionBy())
     return by_place.select(
         "city",
         F.col("state_name").alias("state"),

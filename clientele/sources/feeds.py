@@ -18,7 +18,7 @@ PLACES = [
 PAYMENTS = ["UPI", "Credit Card", "Debit Card", "Cash", " Wallet "]
 DEVICES = ["mobile", "DESKTOP", "tablet", "smart-tv"]
 ISSUES = ["Billing", "Delivery", "Refund", "Login"]
-GUEST = "99999"
+GUEST = "GUEST"  # no customer can have it: theirs are numbers
 
 TABLES = {
     "customer": "c_custkey long, c_nationkey int",

@@ -67,8 +67,8 @@ DATE_COLUMNS = {
 class Warehouse:
     """`buckets` sizes new tables, see `buckets_for`; `files_per_batch` bounds a batch.
 
-    `lengths` are the declared lengths of silver columns by feed. Rows with longer values are set
-    aside, and transaction ids are cut; {} takes ids of any length.
+    `lengths` are lengths of silver columns by feed; rows with longer values are set aside with the
+    reason, never cut. By default only `strict` has lengths, the declared ones.
     """
 
     def __init__(
@@ -78,10 +78,10 @@ class Warehouse:
         buckets: int = 8,
         strict: bool = False,
         files_per_batch: int | None = None,
-        lengths: Mapping[str, Mapping[str, int]] = quality.LENGTHS,
+        lengths: Mapping[str, Mapping[str, int]] | None = None,
     ):
         self.spark, self.root, self.strict = tune(spark), root.rstrip("/"), strict
-        self._lengths = lengths
+        self._lengths = lengths if lengths is not None else quality.LENGTHS if strict else {}
         self._limits = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
         self._silver = {f: self._table("silver", f, s, buckets) for f, s in SPECS.items()}
         self._gold = {g: self._table("gold", g, s, buckets) for g, s in GOLD_SPECS.items()}
@@ -148,12 +148,16 @@ class Warehouse:
         table, task = self._silver[feed], f"merge_{feed}"
 
         def work(batch: DataFrame, batch_id: int) -> None:
-            cleaned = self._clean(feed, batch)
-            good, bad = quality.split_by_rules(cleaned, self._rules(feed))
-            # rejects first: a batch the table knows is not looked at again
-            if not bad.isEmpty():
-                self._save(bad, self._rejects_path("merge", feed), batch_id)
-            table.upsert(good, task, batch_id)
+            # read several times below, cleansed once; a lost part is made anew from the batch
+            cleaned = self._clean(feed, batch).persist()
+            try:
+                good, bad = quality.split_by_rules(cleaned, self._rules(feed))
+                # rejects first: a batch the table knows is not looked at again
+                if not bad.isEmpty():
+                    self._save(bad, self._rejects_path("merge", feed), batch_id)
+                table.upsert(good, task, batch_id)
+            finally:
+                cleaned.unpersist()
 
         return self._start(rows, task, self._logged(task, work), trigger)
 
@@ -171,11 +175,10 @@ class Warehouse:
         """A foreachBatch function that skips empty batches and logs the others."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
+            if batch.isEmpty():
+                return
             rows = batch.count()
-            if rows:
-                run_logged(
-                    self.spark, self.log_path, task, rows, lambda: work(batch, batch_id)
-                )
+            run_logged(self.spark, self.log_path, task, rows, lambda: work(batch, batch_id))
 
         return write
 
@@ -207,10 +210,7 @@ class Warehouse:
     def _clean(self, feed: str, rows: DataFrame) -> DataFrame:
         if feed == "customers":
             return CLEAN[feed](rows, strict=self.strict)
-        options = {"strict": self.strict}
-        if feed == "transactions":
-            options["id_length"] = self._lengths.get(feed, {}).get("transaction_id")
-        return CLEAN[feed](rows, self._silver["customers"].read(), **options)
+        return CLEAN[feed](rows, self._silver["customers"].read(), strict=self.strict)
 
     def _rules(self, feed: str) -> dict:
         required = schemas.SILVER[feed].fieldNames()
@@ -225,7 +225,8 @@ class Warehouse:
         if self.strict:  # corrections never reach gold
             changes = changes.where(F.col("_change") == INSERT)
         table = self._silver[feed]
-        rows = newest_per_key(changes, table.spec.key, table.spec.stamps[1])
+        # by version, not by the clock, which may go back
+        rows = newest_per_key(changes, table.spec.key, "_version").drop("_version")
         dates = calendar(dates_of([(rows, c) for c in DATE_COLUMNS[feed]]))
         self._gold["dim_date"].upsert(dates, task, batch_id)
         customers = self._silver["customers"].read()

@@ -87,6 +87,12 @@ def test_serial_day(spark, serial, want):
     assert one(spark, serial_to_timestamp, serial, "string") == want
 
 
+def test_serial_range(spark):
+    late = "200000"  # in 2447
+    assert one(spark, serial_to_timestamp, late, "string") == datetime(2447, 7, 30)
+    assert one(spark, lambda c: serial_to_timestamp(c, strict=True), late, "string") is None
+
+
 @pytest.mark.parametrize(
     "start, end, hours",
     [

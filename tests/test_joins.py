@@ -1,5 +1,6 @@
 """Lookup join: both ways give the same rows, also with hot keys."""
 
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -27,7 +28,8 @@ def test_both_ways_agree(spark, forced_shuffle):
     rows, table = skewed(spark)
     for how in ("inner", "left", "left_semi"):
         want = values(rows.join(table, "k", how))
-        got = joins.lookup_join(rows, table, "k", how)
+        assert values(joins.lookup_join(rows, table, "k", how)) == want
+        got = joins.lookup_join(rows, table, "k", how, hot=joins.hot_keys(rows, "k"))
         assert values(got) == want
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "Union" in plan and "BroadcastHashJoin" in plan
@@ -40,17 +42,19 @@ def test_small_table_is_joined_in_one_go(spark):
     assert plan.count("Join") == 1
 
 
-def test_no_hot_keys_means_one_join(spark, forced_shuffle):
+def test_without_hot_keys_planning_runs_no_job(spark, forced_shuffle):
     rows = spark.range(5000).select(F.col("id").alias("k"))
     table = spark.range(0, 5000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("sk"))
+    group = "planning"
+    spark.sparkContext.setJobGroup(group, "no job is to be in this group")
     got = joins.lookup_join(rows, table, "k")
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("others", "")
     assert got.count() == 2500
 
 
-def test_broadcast_limit_units(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    for text, want in (("10mb", 10 << 20), ("64k", 64 << 10), ("123", 123), ("-1", -1)):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
-        assert joins.broadcast_limit(spark.range(1)) == want
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+def test_too_many_hot_keys(spark):
+    rows, table = skewed(spark)
+    with pytest.raises(ValueError):
+        joins.lookup_join(rows, table, "k", hot=list(range(joins.MAX_HOT_KEYS + 1)))

@@ -1,5 +1,6 @@
 """Streams from landing files to gold: equal to the batch, safe to restart, late customers heal."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,8 @@ from conftest import SF, values
 from pyspark.sql import functions as F
 
 from clientele import queries
+from clientele.operators import files
+from clientele.operators.runlog import run_history, run_logged
 from clientele.plans.views import VIEWS
 from clientele.schemas import BRONZE, LANDING
 from clientele.streaming.warehouse import FEEDS, Warehouse
@@ -113,7 +116,7 @@ def test_strict_keeps_the_first_version(spark, tmp_path, landing):
 
 
 def test_rejects_and_bad_values(spark, tmp_path):
-    wh = Warehouse(spark, f"{tmp_path}/wh", buckets=2)
+    wh = Warehouse(spark, f"{tmp_path}/wh", buckets=2, lengths={"customers": {"customer_id": 5}})
     folder = f"{tmp_path}/landing/customers"
     good = '{"customer_id": "c1", "signup_date": "2024-01-05", "state_code": "TX"}'
     lines = [
@@ -169,3 +172,50 @@ def test_bronze_has_audit_columns(spark, tmp_path, landing):
     row = wh.bronze("customers").first()
     assert row.ingested_at is not None and row.created_by
     assert wh.bronze("customers").schema.names == BRONZE["customers"].names
+
+
+def test_long_ids_all_arrive(spark, tmp_path, landing):
+    """Orders of seven digits that share six, customers of six digits: no row is cut or set aside."""
+    wh = Warehouse(spark, f"{tmp_path}/wh", buckets=2)
+    folder = f"{tmp_path}/landing"
+    drop(spark, folder, "customers", "a", [customer("123456"), customer("7")])
+    orders = [(str(1_000_000 + k), "123456", "2024-01-05", "10", "UPI", "Austin, TX") for k in range(30)]
+    spark.createDataFrame(orders, "a string, b string, c string, d string, e string, f string").toDF(
+        *LANDING["transactions"].names[:6]
+    ).coalesce(1).write.json(f"{folder}/transactions/a")
+    wh.load("customers", landing["customers"], **FOLDERS).awaitTermination()
+    wh.load("transactions", landing["transactions"], fmt="json", **FOLDERS).awaitTermination()
+    for step in (wh.merge, wh.refresh):
+        for feed in ("customers", "transactions"):
+            step(feed).awaitTermination()
+    assert wh.silver().transactions.count() == 30
+    (best,) = VIEWS["customer_lifetime_value"](wh.gold()).collect()
+    assert float(best[[c for c in best.__fields__ if "lifetime" in c][0]]) == 300.0
+    assert not files.exists(spark, f"{tmp_path}/wh/rejects")
+
+
+def test_runs_side_by_side_are_all_logged(spark, tmp_path):
+    path = str(tmp_path / "log")
+
+    def runs(task):
+        for _ in range(6):
+            run_logged(spark, path, task, 1, lambda: None)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(runs, ["a", "b", "c"]))
+    assert run_history(spark, path, ["a", "b", "c"]).count() == 18
+
+
+def test_a_log_that_cannot_be_written_changes_no_result(spark, tmp_path):
+    blocked = tmp_path / "log"
+    blocked.write_text("a file where the log's folder should be")
+    done = []
+    with pytest.warns(UserWarning, match="not in the log"):
+        run_logged(spark, str(blocked), "a", 1, lambda: done.append(1))
+    assert done == [1]
+
+    def broken():
+        raise RuntimeError("the task's own")
+
+    with pytest.warns(UserWarning), pytest.raises(RuntimeError, match="the task's own"):
+        run_logged(spark, str(blocked), "a", 1, broken)
