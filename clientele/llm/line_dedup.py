@@ -7,10 +7,6 @@ from clientele.llm import lines as L
 from clientele.llm.scratch import BROADCAST_BYTES, Scratch
 
 
-def line_key(line):
-    return L.ascii_lower(L.stripped(line))
-
-
 def drop_shared_lines(
     docs: DataFrame,
     min_docs: int = 10,
@@ -41,17 +37,14 @@ def drop_shared_lines(
     k1, k2 = L.pair_hash(F.col("id"), F.col("text"))
     base = base.select("row", "id", "text", k1.alias("k1"), k2.alias("k2"))
 
-    def key(line):
-        made = line_key(line)
-        return F.when(F.char_length(made) >= min_chars, made).otherwise("")
-
-    keyed = base.select("id", "k1", "k2", L.line_keys(F.col("text"), key).alias("keys"))
+    keys = L.line_keys(F.col("text"), min_chars).alias("keys")
+    keyed = scratch.write(base.select("id", "k1", "k2", keys), "keys")
     counted = L.documents_per_key(keyed, []).where(F.col("n_docs") >= min_docs)
     frequent = scratch.write(counted.select("h1", "h2"), "frequent")
     marked = scratch.write(
         L.marked_lines(keyed, frequent, [], scratch, broadcast_bytes), "marked"
     )
-    scratch.drop(frequent)
+    scratch.drop(frequent, keyed)
     out = base.join(scratch.joinable(marked, broadcast_bytes), ["k1", "k2"], "left").select(
         "row", "text", "marked", L.split_lines(F.col("text")).alias("lines")
     )

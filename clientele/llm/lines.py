@@ -1,7 +1,5 @@
 """Shared steps on lines of documents, all in Spark's own functions."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +30,19 @@ def pair_hash(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
 
 
-def line_keys(text: Column, key: Callable[[Column], Column]) -> Column:
-    """Per \\n-split line its key's two hashes, or null for an empty key."""
+def line_keys(text: Column, min_chars: int = 1) -> Column:
+    """Per \\n-split line the two hashes of its key, or null if the key is shorter than min_chars.
+
+    A line's key is the line without ASCII white space at its ends, A-Z in lower case. Each step is a
+    transform of its own: within one, an expression that is used twice is computed twice.
+    """
+    keys = F.transform(split_lines(ascii_lower(text)), stripped)
 
-    def one(line: Column) -> Column:
-        made = key(line)
-        a, b = pair_hash(made)
-        return F.when(made != "", F.struct(a.alias("h1"), b.alias("h2")))
+    def one(key: Column) -> Column:
+        a, b = pair_hash(key)
+        return F.when(F.char_length(key) >= max(min_chars, 1), F.struct(a.alias("h1"), b.alias("h2")))
 
-    return F.transform(split_lines(text), one)
+    return F.transform(keys, one)
 
 
 def split_lines(text: Column) -> Column:
@@ -53,7 +55,8 @@ def documents_per_key(rows: DataFrame, group: list[str]) -> DataFrame:
     The keys of a row are made distinct before they are exploded, so a line that stands in every
     document costs one partial row per task. Rows without an id count as one document.
     """
-    each = rows.select(*group, "id", F.explode(F.array_distinct("keys")).alias("key"))
+    # outer: else the array would be computed once more, for a filter
+    each = rows.select(*group, "id", F.explode_outer(F.array_distinct("keys")).alias("key"))
     each = each.where("key is not null").select(*group, "id", "key.*")
     known = F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))
     return each.groupBy(*group, "h1", "h2").agg(known.cast("long").alias("n_docs"))
@@ -67,7 +70,7 @@ def marked_lines(
 
     `frequent` is a written table: broadcast if small, else joined by a shuffle on the key.
     """
-    each = rows.select("k1", "k2", *group, F.posexplode("keys").alias("at", "key"))
+    each = rows.select("k1", "k2", *group, F.posexplode_outer("keys").alias("at", "key"))
     each = each.where("key is not null").select("k1", "k2", *group, "at", "key.*")
     on = [each[c].eqNullSafe(frequent[c]) for c in [*group, "h1", "h2"]]
     hits = each.join(scratch.joinable(frequent, limit), on, "left_semi")

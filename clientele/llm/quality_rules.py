@@ -79,10 +79,6 @@ def _stats_job(width: int):
     return job
 
 
-def host_line_key(line):
-    return L.ascii_lower(L.stripped(line))
-
-
 def _keyed(docs: DataFrame, doc_id: str, host: str, text: str) -> DataFrame:
     """id, host, text and the two hashes that name a row by its content."""
     k1, k2 = L.pair_hash(docs[doc_id], docs[host], docs[text])
@@ -99,8 +95,9 @@ def boilerplate(
     keyed: DataFrame, scratch: Scratch, min_docs: int, host_share: float, limit: int
 ) -> DataFrame:
     """A written row per document (k1, k2) with lines above its host's limit: their positions."""
-    rows = keyed.select("id", "host", "k1", "k2", L.line_keys(F.col("text"), host_line_key).alias("keys"))
-    hosts = keyed.groupBy("host").agg(
+    keys = L.line_keys(F.col("text")).alias("keys")
+    rows = scratch.write(keyed.select("id", "host", "k1", "k2", keys), "keys")
+    hosts = rows.groupBy("host").agg(
         (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("host_docs")
     )
     counted = L.documents_per_key(rows, ["host"]).where(F.col("n_docs") > min_docs)
@@ -112,7 +109,9 @@ def boilerplate(
         .select("host", "h1", "h2")
     )
     frequent = scratch.write(above, "frequent")
-    return scratch.write(L.marked_lines(rows, frequent, ["host"], scratch, limit), "marked")
+    marked = scratch.write(L.marked_lines(rows, frequent, ["host"], scratch, limit), "marked")
+    scratch.drop(rows, counted, hosts, frequent)
+    return marked
 
 
 def quality_rules(
