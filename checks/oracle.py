@@ -381,6 +381,10 @@ OPERATORS = {
     "link_support": """
         SELECT t.ticket_id, coalesce(c.customer_id, '-1') AS customer_key
         FROM s_support t LEFT JOIN s_customers c ON t.customer_id = c.customer_id""",
+    "link_support_strict": """
+        SELECT t.ticket_id, coalesce(c.customer_id, '0') AS customer_key
+        FROM (SELECT ticket_id, coalesce(customer_id, 'UNKNOWN') AS customer_id FROM f_support) t
+        LEFT JOIN f_customers c ON t.customer_id = c.customer_id""",
     "link_web": """
         SELECT t.session_id, coalesce(c.customer_id, '-1') AS customer_key
         FROM s_web t LEFT JOIN s_customers c ON t.customer_id = c.customer_id""",
@@ -416,6 +420,36 @@ OPERATORS = {
                CASE WHEN signup_date < DATE '2022-01-01' THEN 'update_postimage'
                     ELSE 'insert' END AS change
         FROM s_customers""",
+    "upsert_web": """
+        SELECT session_id, customer_id,
+               CAST(page_views + (device = 'Mobile')::INTEGER AS INTEGER) AS page_views,
+               session_duration, device, interaction_date, session_category,
+               CASE WHEN interaction_date < DATE '2024-01-20' THEN TIMESTAMP '2024-02-01'
+                    ELSE TIMESTAMP '2024-02-02 12:00:00' END AS created_timestamp,
+               TIMESTAMP '2024-02-02 12:00:00' AS updated_timestamp,
+               CASE WHEN interaction_date < DATE '2024-01-20' THEN 'update_postimage'
+                    ELSE 'insert' END AS change
+        FROM s_web""",
+    "upsert_support": """
+        SELECT ticket_id, customer_id, created_at, resolved_at, resolution_time_hours,
+               CASE WHEN satisfaction_score = 0 THEN 'Escalated' ELSE issue_type END AS issue_type,
+               satisfaction_score, satisfaction_category,
+               CASE WHEN satisfaction_category = 'High' THEN TIMESTAMP '2024-02-01'
+                    ELSE TIMESTAMP '2024-02-02' END AS created_timestamp,
+               TIMESTAMP '2024-02-02 12:00:00' AS updated_timestamp,
+               CASE WHEN satisfaction_category = 'High' THEN 'update_postimage'
+                    ELSE 'insert' END AS change
+        FROM s_support""",
+    "audit_columns": """
+        SELECT * EXCLUDE (signup_date), TIMESTAMP '2024-02-01' AS ingested_at, TIMESTAMP '2024-02-01' AS updated_at,
+               'loader' AS created_by, 'loader' AS updated_by
+        FROM f_customers""",
+    "streamed_run_log": """
+        SELECT 'merge_customers' AS task_name, 'SUCCESS' AS status, count(*) AS rows_processed
+        FROM f_customers
+        UNION ALL SELECT 'merge_web', 'SUCCESS', count(*) FROM f_web
+        UNION ALL SELECT 'refresh_customers', 'SUCCESS', count(*) FROM s_customers
+        WHERE signup_date IS NOT NULL""",
     "quality_duplicates": """
         SELECT customer_id, count(*) AS row_count FROM s_transactions
         GROUP BY customer_id HAVING count(*) > 1""",
@@ -456,6 +490,7 @@ STRICT = [
     "clean_support",
     "dim_date",
     "dim_support",
+    "dim_sessions",
     "fact_transactions",
     "customer_lifetime_value",
     "churned_customers_by_location",
@@ -473,6 +508,12 @@ def oracle_sql() -> dict[str, str]:
     # the streams must end where the batch does
     out["streamed_lifetime_value"] = out["customer_lifetime_value"]
     out["streamed_resolution_count"] = out["resolution_ticket_count"]
+    out["streamed_sessions"] = out["performance_by_session"]
+    # a view by its SQL name, cut after a full order
+    out["top_customers"] = (
+        f"SELECT customer_id, customer_lifetime_value FROM ({out['customer_lifetime_value']}) "
+        "ORDER BY customer_lifetime_value DESC, customer_id LIMIT 25"
+    )
     for name in STRICT:
         sql = bodies[name]
         out[f"{name}_strict"] = _chain(_needed(strict_parts, sql), sql)

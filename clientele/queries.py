@@ -26,10 +26,11 @@ from clientele.plans.gold import build_gold
 from clientele.plans.ingest import INGEST
 from clientele.plans.silver import CLEAN
 from clientele.plans.tables import Tables
-from clientele.plans.views import VIEWS
+from clientele.plans.views import VIEWS, register_views
 from clientele.schemas import AUDIT
 from clientele.session import scratch_dir, tune
 from clientele.sources import feeds
+from clientele.sources.audit import with_audit
 from clientele.sources.readers import append_raw
 from clientele.streaming.warehouse import Warehouse
 
@@ -133,12 +134,12 @@ GOLD = {
 # ---- operators ---------------------------------------------------------------------------------
 
 
-def _linked(feed: str, id_column: str, key_column: str) -> Query:
+def _linked(feed: str, id_column: str, key_column: str, strict: bool = False) -> Query:
     """Left join of a feed to its customers; the unknown member for no match."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        customers = silver(spark, sf_dir, "customers")
-        rows = CLEAN[feed](bronze(spark, sf_dir, feed), customers)
+        customers = silver(spark, sf_dir, "customers", strict)
+        rows = CLEAN[feed](bronze(spark, sf_dir, feed), customers, strict=strict)
         return rows.select(id_column, F.col(key_column).alias("customer_key"))
 
     return query
@@ -194,6 +195,43 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.drop("_bucket", spec.surrogate).withColumnRenamed("_change", "change")
 
 
+def _upsert_twice(feed: str, first: str, column: str, changed: str) -> Query:
+    """First the rows that meet a condition, then all of them with a column changed."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = SPECS[feed]
+        early = CLEAN[feed](bronze(spark, sf_dir, feed)).where(first)
+        again = CLEAN[feed](INGEST[feed](raw(spark, sf_dir, feed), SECOND_LOAD))
+        again = again.withColumn(column, F.expr(changed).cast(again.schema[column].dataType))
+        table = merge_rows(empty_table(spark, spec), early, spec, BUCKETS, FIRST_LOAD)
+        merged = merge_rows(table, again, spec, BUCKETS, SECOND_MERGE)
+        return merged.drop("_bucket", spec.surrogate).withColumnRenamed("_change", "change")
+
+    return query
+
+
+def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer feed with its audit columns, actor and time given."""
+    rows = raw(spark, sf_dir, "customers").drop("signup_date")
+    return with_audit(rows, "loader", FIRST_LOAD)
+
+
+def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view by its SQL name, with a limit on a full order."""
+    register_views(star(spark, sf_dir))
+    return spark.sql(
+        "SELECT customer_id, customer_lifetime_value FROM customer_lifetime_value "
+        "ORDER BY customer_lifetime_value DESC, customer_id LIMIT 25"
+    )
+
+
+def streamed_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs that two streamed feeds leave in the log: task, status, rows."""
+    warehouse = _streamed_warehouse(spark, sf_dir, ("customers", "web"))
+    tasks = ["merge_customers", "merge_web", "refresh_customers"]
+    return warehouse.history(tasks, hours=24).select("task_name", "status", "rows_processed")
+
+
 def quality_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with more than one transaction: the unique rule applied to a non-key."""
     return quality.duplicates(silver(spark, sf_dir, "transactions"), "customer_id")
@@ -223,23 +261,24 @@ def quality_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("transaction_id", "customer_id", F.col("_reason").alias("reason"))
 
 
-def _streamed(view: str, feeds_used: tuple[str, ...]) -> Query:
-    """The view after the feeds went through landing files, bronze, silver and gold streams."""
+def _streamed_warehouse(
+    spark: SparkSession, sf_dir: str, feeds_used: tuple[str, ...]
+) -> Warehouse:
+    """The feeds taken through landing files, bronze, silver and gold streams."""
+    root = f"{scratch_dir(spark)}/clientele-{uuid.uuid4().hex}"
+    landing = {feed: f"{root}/landing/{feed}" for feed in feeds_used}
+    size = 0
+    for feed, path in landing.items():
+        rows = INGEST[feed](raw(spark, sf_dir, feed))
+        size = max(size, estimated_bytes(rows))
+        append_raw(rows, path)
+    warehouse = Warehouse(spark, f"{root}/warehouse", buckets_for(size))
+    warehouse.cycle(landing)
+    return warehouse
 
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = f"{scratch_dir(spark)}/clientele-{uuid.uuid4().hex}"
-        landing = {feed: f"{root}/landing/{feed}" for feed in feeds_used}
-        size = 0
-        for feed, path in landing.items():
-            rows = INGEST[feed](raw(spark, sf_dir, feed))
-            size = max(size, estimated_bytes(rows))
-            append_raw(rows, path)
-        # ids grow longer with the tables, so no declared lengths here
-        warehouse = Warehouse(spark, f"{root}/warehouse", buckets_for(size), lengths={})
-        warehouse.cycle(landing)
-        return VIEWS[view](warehouse.gold())
 
-    return query
+def _streamed(view: str, feeds_used: tuple[str, ...]) -> Query:
+    return lambda spark, sf_dir: VIEWS[view](_streamed_warehouse(spark, sf_dir, feeds_used).gold())
 
 
 # ---- registry ----------------------------------------------------------------------------------
@@ -247,6 +286,7 @@ def _streamed(view: str, feeds_used: tuple[str, ...]) -> Query:
 STRICT = [
     "dim_date",
     "dim_support",
+    "dim_sessions",
     "fact_transactions",
     "customer_lifetime_value",
     "churned_customers_by_location",
@@ -283,12 +323,25 @@ def registry() -> dict[str, Query]:
         **{f"{name}_strict": _from_gold(of_gold[name], strict=True) for name in STRICT},
         "link_transactions": _linked("transactions", "transaction_id", "customer_sk"),
         "link_support": _linked("support", "ticket_id", "customer_id_sk"),
+        "link_support_strict": _linked("support", "ticket_id", "customer_id_sk", strict=True),
         "link_web": _linked("web", "session_id", "customer_id_sk"),
         "ticket_row_numbers": ticket_row_numbers,
         "session_row_numbers": session_row_numbers,
         "transaction_surrogates": transaction_surrogates,
         "upsert_transactions": upsert_transactions,
         "upsert_customers": upsert_customers,
+        "upsert_web": _upsert_twice(
+            "web", "interaction_date < '2024-01-20'", "page_views",
+            "page_views + CASE WHEN device = 'Mobile' THEN 1 ELSE 0 END",
+        ),
+        "upsert_support": _upsert_twice(
+            "support", "satisfaction_category = 'High'", "issue_type",
+            "CASE WHEN satisfaction_score = 0 THEN 'Escalated' ELSE issue_type END",
+        ),
+        "audit_columns": audit_columns,
+        "top_customers": top_customers,
+        "streamed_run_log": streamed_run_log,
+        "streamed_sessions": _streamed("performance_by_session", ("customers", "web")),
         "streamed_lifetime_value": _streamed(
             "customer_lifetime_value", ("customers", "transactions")
         ),
