@@ -7,6 +7,7 @@ consumer sees every row once, whatever the others have read. Batches are replaye
 every write is either a folder named by batch or a keyed upsert that knows the batch.
 """
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clientele import schemas
-from clientele.operators import quality
+from clientele.operators import files, quality
 from clientele.operators.joins import lookup_join
 from clientele.operators.runlog import run_history, run_logged
 from clientele.operators.upsert import (
@@ -126,8 +127,8 @@ class Warehouse:
             if fmt != "parquet":
                 schema = T.StructType([T.StructField(c, T.StringType()) for c in schema.names])
         options = {**self._limits, **options}
-        files = self.spark.readStream.schema(schema).format(fmt).options(**options).load(landing)
-        rows = files.select("*", F.col("_metadata.file_path").alias("_file"))
+        landed = self.spark.readStream.schema(schema).format(fmt).options(**options).load(landing)
+        rows = landed.select("*", F.col("_metadata.file_path").alias("_file"))
 
         def write(batch: DataFrame, batch_id: int) -> None:
             if batch.isEmpty():
@@ -135,10 +136,11 @@ class Warehouse:
             business = schemas.BRONZE[feed].fieldNames()[: -len(schemas.AUDIT)]
             wanted = T.StructType([schemas.BRONZE[feed][c] for c in business])
             good, bad = load_typed(batch, wanted, ON_ERROR[feed])
-            self._save(with_audit(good), self._bronze_path(feed), batch_id)
+            self._save(with_audit(good), self._bronze_path(feed), stream, batch_id)
             if not bad.isEmpty():
-                self._save(bad, self._rejects_path("load", feed), batch_id)
+                self._save(bad, self._rejects_path("load", feed), stream, batch_id)
 
+        stream = self._stream_id(f"load_{feed}")
         return self._start(rows, f"load_{feed}", write, trigger)
 
     def merge(self, feed: str, trigger: dict | None = None) -> StreamingQuery:
@@ -146,6 +148,7 @@ class Warehouse:
         reader = self.spark.readStream.schema(schemas.BRONZE[feed]).options(**self._limits)
         rows = reader.option("recursiveFileLookup", "true").parquet(self._bronze_path(feed))
         table, task = self._silver[feed], f"merge_{feed}"
+        stream = self._stream_id(task)
 
         def work(batch: DataFrame, batch_id: int) -> None:
             # read several times below, cleansed once; a lost part is made anew from the batch
@@ -154,8 +157,8 @@ class Warehouse:
                 good, bad = quality.split_by_rules(cleaned, self._rules(feed))
                 # rejects first: a batch the table knows is not looked at again
                 if not bad.isEmpty():
-                    self._save(bad, self._rejects_path("merge", feed), batch_id)
-                table.upsert(good, task, batch_id)
+                    self._save(bad, self._rejects_path("merge", feed), stream, batch_id)
+                table.upsert(good, f"{task}-{stream}", batch_id)
             finally:
                 cleaned.unpersist()
 
@@ -165,9 +168,10 @@ class Warehouse:
         """New silver changes to gold: the calendar first, then the feed's own table."""
         table, task = self._silver[feed], f"refresh_{feed}"
         rows = table.read_changes(**self._limits)
+        writer = f"{task}-{self._stream_id(task)}"
 
         def work(batch: DataFrame, batch_id: int) -> None:
-            self._refresh(feed, batch, task, batch_id)
+            self._refresh(feed, batch, writer, batch_id)
 
         return self._start(rows, task, self._logged(task, work), trigger)
 
@@ -258,9 +262,20 @@ class Warehouse:
     def _rejects_path(self, stage: str, feed: str) -> str:
         return f"{self.root}/rejects/{stage}/{feed}"
 
-    def _save(self, df: DataFrame, path: str, batch_id: int) -> None:
+    def _save(self, df: DataFrame, path: str, stream: str, batch_id: int) -> None:
         """A replay of the batch writes the same folder again."""
-        df.write.mode("overwrite").parquet(f"{path}/load-{batch_id}")
+        df.write.mode("overwrite").parquet(f"{path}/load-{stream}-{batch_id}")
+
+    def _stream_id(self, name: str) -> str:
+        """A name that lives as long as the stream's checkpoint.
+
+        Batches are numbered by the checkpoint. If it is lost, numbers begin anew; with this in their
+        names, new batches neither replace old ones nor pass for them.
+        """
+        path = f"{self.root}/checkpoints/{name}/stream-id"
+        if not files.exists(self.spark, path):
+            files.write_text(self.spark, path, uuid.uuid4().hex[:12])
+        return files.read_text(self.spark, path)
 
     def _start(self, rows: DataFrame, name: str, write, trigger: dict | None) -> StreamingQuery:
         writer = rows.writeStream.foreachBatch(write).trigger(**(trigger or NOW))

@@ -219,3 +219,16 @@ def test_a_log_that_cannot_be_written_changes_no_result(spark, tmp_path):
 
     with pytest.warns(UserWarning), pytest.raises(RuntimeError, match="the task's own"):
         run_logged(spark, str(blocked), "a", 1, broken)
+
+
+def test_a_lost_checkpoint_loses_no_rows(spark, tmp_path, landing):
+    wh = Warehouse(spark, f"{tmp_path}/wh", buckets=2)
+    feeds = {"customers": landing["customers"]}
+    drop(spark, f"{tmp_path}/landing", "customers", "a", [customer("c1")])
+    wh.cycle(feeds, **FOLDERS)
+    for task in ("load_customers", "merge_customers", "refresh_customers"):
+        files.remove(spark, f"{tmp_path}/wh/checkpoints/{task}")
+    files.remove(spark, f"{tmp_path}/landing/customers/a")
+    drop(spark, f"{tmp_path}/landing", "customers", "b", [customer("c2")])
+    wh.cycle(feeds, **FOLDERS)
+    assert {r.customer_id for r in wh.gold().dim_customers.collect()} == {"C1", "C2"}
