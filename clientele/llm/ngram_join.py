@@ -28,11 +28,19 @@ from clientele.llm.scratch import BROADCAST_BYTES, Scratch
 TALLY = 4 << 20
 #: At most so many shingles are put last in the order; a bound on what each task is sent.
 FREQUENT = 1 << 20
+#: And only such as repeat 2 to this power times.
+LEAST_FREQUENT = 3
 #: Largest boundary considered; beyond it, subsets are too many by far.
 MOST_LIGHT = 16
 #: Cost of bringing one element of a set to a comparison, in rows of a list.
 COMPARE_COST = 2
 
+#: Sets in lists above this size are compared in blocks of so many, some elements at a time.
+LONG, BLOCK, COLUMNS = 64, 512, 4096
+#: Counts in a set's profile, by the first bits of its elements.
+BUCKETS = 128
+_SHIFT = np.uint64(57)
+
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -46,6 +54,20 @@ def prefix(n, percent: int):
     return n + (-percent * n // 100) + 1
 
 
+def least_power(numbers: dict[int, int]) -> int:
+    """The least power of two from which on there are at most FREQUENT shingles.
+
+    numbers: shingles by the power of two that their count reaches.
+    """
+    held, least = 0, max(numbers, default=LEAST_FREQUENT) + 1
+    for power in sorted(numbers, reverse=True):
+        held += numbers[power]
+        if held > FREQUENT:
+            break
+        least = power
+    return least
+
+
 def light_keys(n: int, most: int, percent: int) -> list[tuple[int, int, int]]:
     """(smaller size, larger size, subset size) of the pairings of a set of n up to `most`."""
     as_small = [(n, m) for m in range(n, min(100 * n // percent, most) + 1)]
@@ -178,6 +200,34 @@ def _postings_job(width: int, percent: int, most_light: int, frequent):
     return job
 
 
+def _profiles(value: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Per set, how many of its elements begin with each of BUCKETS patterns of bits."""
+    n = len(bounds) - 1
+    place = np.repeat(np.arange(n) * BUCKETS, np.diff(bounds))
+    counts = np.bincount(place + (value >> _SHIFT).astype(np.int64), minlength=n * BUCKETS)
+    raw = counts.astype("<u4").tobytes()
+    return pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(4 * BUCKETS), n, [None, pa.py_buffer(raw)]
+    ).cast(pa.binary())
+
+
+def _profile_job(percent: int):
+    """Drops pairs whose profiles leave too little room for their intersection."""
+
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, BUCKETS)
+                for c in ("left", "right")
+            )
+            most = np.minimum(left, right).sum(axis=1, dtype=np.int64)
+            sizes = left.sum(axis=1, dtype=np.int64) + right.sum(axis=1, dtype=np.int64)
+            near = most >= -(-percent * sizes // (100 + percent))
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return job
+
+
 def _whole_sets_job(width: int):
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,12 +236,54 @@ def _whole_sets_job(width: int):
                 _, value, bounds = flat.shingle_sets(flat.LOWER[data], offsets, width)
                 sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), _signed(value))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, len(offsets) - 1), sets], ["node", "own"]
+                    [ids.slice(i, len(offsets) - 1), _profiles(value, bounds), sets],
+                    ["node", "profile", "own"],
                 )
 
     return job
 
 
+def _block_job(percent: int):
+    """Pairs of sets of two chunks of a list that share enough of their prefixes."""
+
+    def job(table: pa.Table) -> pa.Table:
+        node, n = np.asarray(table.column("node")), np.asarray(table.column("n")).astype(np.int64)
+        component, chunk = np.asarray(table.column("component")), np.asarray(table.column("chunk"))
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        lists = table.column("own").combine_chunks()
+        _, element = np.unique(np.asarray(lists.flatten()), return_inverse=True)
+        owner = np.repeat(np.arange(len(node)), np.asarray(lists.value_lengths()))
+        often = np.bincount(element) > 1
+        element, owner = (np.cumsum(often) - 1)[element[often[element]]], owner[often[element]]
+        left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+        shared = np.zeros((len(left), len(right)), dtype=np.float32)
+        for first in range(0, int(often.sum()), COLUMNS):
+            here = (element >= first) & (element < first + COLUMNS)
+            held = np.zeros((len(node), COLUMNS), dtype=np.float32)
+            held[owner[here], element[here] - first] = 1
+            shared += held[left] @ held[right].T
+        a, b = n[left][:, None], n[right][None, :]
+        needed = -(-percent * (a + b) // (100 + percent))
+        outside = np.maximum(a - prefix(a, percent), b - prefix(b, percent))
+        near = (shared > 0) & (shared + outside >= needed)
+        near &= component[left][:, None] != component[right][None, :]
+        if low == high:
+            near &= node[left][:, None] < node[right][None, :]
+        i, j = np.nonzero(near)
+        i, j = left[i], right[j]
+        # a pair comes out of the first of the long lists that it shares
+        far, here = table.column("far").to_pylist(), table.column("hash")[0].as_py()
+        sets = {k: set(far[k]) for k in {*i.tolist(), *j.tolist()}}
+        first = [min(sets[x] & sets[y]) == here for x, y in zip(i.tolist(), j.tolist(), strict=True)]
+        kept = np.array(first, dtype=bool)
+        i, j = i[kept], j[kept]
+        swap = node[i] > node[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        return pa.table({"a": node[i], "b": node[j]})
+
+    return job
+
+
 class _Join:
     """One run of the join: the texts of one document per class of equal sets, and its tables."""
 
@@ -207,39 +299,60 @@ class _Join:
     def prefix_of(self, size: str):
         return F.expr(f"{size} - ({self.percent} * {size} + 99) div 100 + 1")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b, n, m) whose sets link, compared whole; written."""
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b) those that may link, with the intersection of their sets; written.
+
+        Pairs meet each other's profile first, which bounds the intersection from above; only the
+        pairs that this leaves meet each other's whole set.
+        """
         scratch = self.scratch
-        pairs = scratch.write(pairs, "pairs")
+        pairs = scratch.write(pairs.select("a", "b"), "pairs")
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         ends = scratch.write(ends, "ends")
         sets = self.texts.join(scratch.joinable(ends, self.limit), "id", "left_semi")
-        sets = scratch.write(
-            sets.mapInArrow(_whole_sets_job(self.width), "node long, own array<long>"), "sets"
+        schema = "node long, profile binary, own array<long>"
+        sets = scratch.write(sets.mapInArrow(_whole_sets_job(self.width), schema), "sets")
+
+        def met(rows: DataFrame, what: str) -> DataFrame:
+            left = sets.select(F.col("node").alias("a"), F.col(what).alias("left"))
+            right = sets.select(F.col("node").alias("b"), F.col(what).alias("right"))
+            return rows.join(left, "a").join(right, "b")
+
+        near = met(pairs, "profile").mapInArrow(_profile_job(self.percent), "a long, b long")
+        near = scratch.write(near.distinct(), "near")
+        # sizes from the sets: rows may share an id
+        both = met(near, "own").select(
+            "a", "b", F.size("left").alias("n"), F.size("right").alias("m"),
+            F.size(F.array_intersect("left", "right")).alias("shared"),
         )
-        left = sets.select(F.col("node").alias("a"), F.col("own").alias("left"))
-        right = sets.select(F.col("node").alias("b"), F.col("own").alias("right"))
-        both = pairs.join(left, "a").join(right, "b")
-        shared = F.size(F.array_intersect("left", "right"))
-        # from the sets' own sizes: rows may share an id
-        both = both.withColumn("n", F.size("left")).withColumn("m", F.size("right"))
-        found = scratch.write(both.where(shared >= self.needed()).select("a", "b"), "links")
-        scratch.drop(pairs, ends, sets)
+        found = scratch.write(both, "compared")
+        scratch.drop(pairs, ends, sets, near)
         return found
 
+    def links_of(self, compared: DataFrame) -> DataFrame:
+        return compared.where(F.col("shared") >= self.needed()).select("a", "b")
+
     def star_pairs(self, lists: DataFrame, number: int) -> DataFrame:
         """For each set, one of another component: the one with which it shares most lists.
 
-        A list and size class offers two sets, first and last in an order that changes by round.
+        A list and size class offers three sets: the one of which the largest share of its prefix is
+        in lists, as the text that others were copied from has it, and the first and last in an order
+        of components that changes by round.
         """
         size_class = F.floor(F.log(F.col("n")) / math.log(100 / self.percent))
-        mark = F.struct(F.xxhash64("component", F.lit(number)), "component", "node", "n")
+        one = F.struct("component", "node", "n")
+        mark = F.struct(F.xxhash64("component", F.lit(number)).alias("order"), one.alias("one"))
+        middle = F.struct("share", F.xxhash64("node").alias("order"), one.alias("one"))
         lists = lists.withColumn("class", size_class)
-        ends = lists.groupBy("hash", "class").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"))
-        ends = ends.where("lo.component <> hi.component")
-        other = F.when(F.col("component") != F.col("lo.component"), F.col("lo")).otherwise(
-            F.col("hi")
+        ends = lists.groupBy("hash", "class").agg(
+            F.max(middle)["one"].alias("mid"),
+            F.min(mark)["one"].alias("lo"),
+            F.max(mark)["one"].alias("hi"),
         )
+        ends = ends.where("lo.component <> hi.component")
+        other = F.when(F.col("component") != F.col("mid.component"), F.col("mid"))
+        other = other.when(F.col("component") != F.col("lo.component"), F.col("lo"))
+        other = other.otherwise(F.col("hi"))
         offers = lists.join(ends, ["hash", "class"]).withColumn("other", other)
         counted = offers.groupBy(
             F.col("node").alias("a"), F.col("other.node").alias("b"), "n", F.col("other.n").alias("m")
@@ -250,20 +363,51 @@ class _Join:
         return best.select("a", "best.b", "best.n", "best.m")
 
     def rest_pairs(self, lists: DataFrame) -> DataFrame:
-        """All pairs of a list in different components that may link, by sizes and shared prefix."""
-        p = self.percent
-        a = lists.select("hash", F.col("node").alias("a"), "n", F.col("component").alias("ca"))
-        b = lists.select(
-            "hash", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("cb")
+        """All pairs of a list in different components that may link, by sizes and shared prefix.
+
+        Short lists are joined with themselves. The sets of long lists are compared in pairs of
+        blocks, each set with its whole prefix, and only pairs that may link come out.
+        """
+        p, scratch = self.percent, self.scratch
+        sizes = lists.groupBy("hash").agg(F.count("*").alias("c"))
+        sizes = scratch.write(sizes.where(F.col("c") > LONG), "long")
+        long = scratch.joinable(sizes, self.limit)
+        # one row of each set: its prefix, as far as lists are open, and how much of it is in long ones
+        own = lists.join(long, "hash", "left").groupBy("node").agg(
+            F.first("n").alias("n"),
+            F.first("component").alias("component"),
+            F.collect_set("hash").alias("own"),
+            F.collect_set(F.when(F.col("c").isNotNull(), F.col("hash"))).alias("far"),
+        )
+        own = scratch.write(own.withColumn("long", F.size("far")), "prefixes")
+        short = lists.join(long, "hash", "left_anti").join(own.select("node", "long"), "node")
+        a = short.select(
+            "hash", F.col("node").alias("a"), "n", F.col("component").alias("ca"), F.col("long").alias("la")
+        )
+        b = short.select(
+            "hash", F.col("node").alias("b"), F.col("n").alias("m"),
+            F.col("component").alias("cb"), F.col("long").alias("lb"),
         )
         fits = (F.col("m") * p <= F.col("n") * 100) & (F.col("n") * p <= F.col("m") * 100)
         met = a.join(b, "hash").where((F.col("ca") < F.col("cb")) & fits)
-        counted = met.groupBy("a", "b", "n", "m").agg(F.count("*").alias("k"))
+        met = met.groupBy("a", "b", "n", "m", "la", "lb").agg(F.count("*").alias("k"))
         # an element that both have, but not in both prefixes, is outside one of them
-        outside = F.greatest(
-            F.col("n") - self.prefix_of("n"), F.col("m") - self.prefix_of("m")
+        outside = F.greatest(F.col("n") - self.prefix_of("n"), F.col("m") - self.prefix_of("m"))
+        most = F.col("k") + F.least("la", "lb") + outside
+        met = met.where(most >= self.needed()).select("a", "b")
+
+        chunks = F.expr(f"(c + {BLOCK - 1}) div {BLOCK}")
+        placed = lists.select("hash", "node").join(long, "hash")
+        placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
+        blocks = placed.select(
+            "hash", "node", "chunk",
+            F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+        ).join(own, "node")
+        dense = blocks.groupBy("hash", "low", "high").applyInArrow(
+            _block_job(p), "a long, b long"
         )
-        return counted.where(F.col("k") + outside >= self.needed()).select("a", "b", "n", "m")
+        return met.union(dense).distinct()
 
     def open_lists(self, lists: DataFrame, links: DataFrame) -> DataFrame:
         """The lists that still hold sets of different components."""
@@ -287,7 +431,8 @@ class _Join:
         scratch = self.scratch
         open_, links = lists.withColumn("component", F.col("node")), None
         for number in itertools.count():
-            found = self.verified(self.star_pairs(open_, number))
+            compared = self.compared(self.star_pairs(open_, number))
+            found = self.links_of(compared)
             links = found if links is None else links.union(found)
             last = open_
             open_ = self.open_lists(last, links)
@@ -296,11 +441,13 @@ class _Join:
             by = open_.groupBy("hash", "component").agg(F.count("*").alias("c"))
             by = by.groupBy("hash").agg(F.sum("c").alias("c"), F.sum(F.expr("c * c")).alias("own"))
             rows, pairs = by.agg(F.sum("c"), F.sum(F.expr("(c * c - own) / 2"))).first()
-            # go on while the rest costs more than another round, and rounds still find links
-            if not rows or pairs <= 4 * rows or not found.take(1):
+            # a round costs some passes over the lists: go on while the rest costs more and a round
+            # still brings many sets together
+            left = open_.agg(F.count_distinct("node")).first()[0]
+            if not rows or pairs <= 64 * rows or 20 * found.count() <= left:
                 break
         if rows:
-            links = links.union(self.verified(self.rest_pairs(open_)))
+            links = links.union(self.links_of(self.compared(self.rest_pairs(open_))))
         return links
 
 
@@ -334,10 +481,12 @@ def ngram_jaccard_components(
     classes = scratch.write(classes, "classes")
 
     # the order: shingles that repeat within a task come last, by their counts
-    total = classes.agg(F.sum("n")).first()[0] or 0
     counts = seen.where("hot is not null").select(F.explode(F.arrays_zip("hot", "times")).alias("x"))
     counts = counts.groupBy("x.hot").agg(F.sum("x.times").alias("times"))
-    counts = counts.where(F.col("times") >= max(16, total // FREQUENT)).toArrow()
+    counts = scratch.write(counts.where(F.col("times") >= 1 << LEAST_FREQUENT), "counts")
+    power = F.floor(F.log2("times")).cast("int")
+    least = least_power(dict(counts.groupBy(power.alias("p")).count().collect()))
+    counts = counts.where(F.col("times") >= 1 << least).toArrow()
     hot = np.asarray(counts.column("hot").combine_chunks()).view(np.uint64)
     order = np.argsort(hot)
     times = np.asarray(counts.column("times").combine_chunks())
@@ -376,9 +525,11 @@ def ngram_jaccard_components(
     several = scratch.write(several, "several")
     lists = lists.join(scratch.joinable(several, broadcast_bytes), "hash", "left_semi")
     lists = scratch.write(lists, "lists")
-    scratch.drop(several)
-    heavy = _Join(texts, scratch, width, percent, broadcast_bytes).heavy_links(lists)
-    scratch.drop(postings, lists)
+    join = _Join(texts, scratch, width, percent, broadcast_bytes)
+    share = lists.groupBy("node").agg((F.count("*") / join.prefix_of("first(n)")).alias("share"))
+    share = scratch.write(share, "shares")
+    heavy = join.heavy_links(lists.join(scratch.joinable(share, broadcast_bytes), "node"))
+    scratch.drop(postings, several, lists, share)
     found = components(light.union(heavy).union(several_texts), scratch)
 
     named = sets.join(scratch.joinable(classes, broadcast_bytes), same, "left")

@@ -48,6 +48,28 @@ def test_equals_all_pairs(spark, seed, limit):
     assert {r.doc_id: r.n_shingles for r in found} == sizes
 
 
+def test_long_lists_in_blocks(spark, monkeypatch):
+    """With nearly all lists long, and groups of near copies that are several blocks large."""
+    monkeypatch.setattr(nj, "LONG", 3)
+    monkeypatch.setattr(nj, "BLOCK", 4)
+    monkeypatch.setattr(nj, "COLUMNS", 16)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, edited(rng, base, rng.randrange(0, 4))) for k in range(60)]
+    want = plain.jaccard_components(rows)
+    assert 2 < len(set(want.values())) < 50
+    found = nj.ngram_jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in found} == want
+
+
+def test_least_power_keeps_the_bound(monkeypatch):
+    monkeypatch.setattr(nj, "FREQUENT", 100)
+    assert nj.least_power({3: 50, 4: 40, 9: 10}) == 3
+    assert nj.least_power({3: 51, 4: 40, 9: 10}) == 4
+    assert nj.least_power({3: 5, 4: 101}) == 5
+    assert nj.least_power({}) == nj.LEAST_FREQUENT + 1
+
+
 def test_chains_and_order_by_frequency(spark, monkeypatch):
     """With a low bound on frequent shingles, and a chain whose ends do not link themselves."""
     monkeypatch.setattr(nj, "TALLY", 200)
