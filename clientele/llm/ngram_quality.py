@@ -6,6 +6,7 @@ partitioning. A document's perplexity per byte is set against a quantile of its
 
 import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ START = 10
 TALLY = 2 << 20
 #: Steps per bit of log2 perplexity in which quantiles are told apart.
 STEPS = 512
+#: Confidence that a small language's limit is above the quantile of its documents.
+CONFIDENCE = 0.95
 #: Rows of n-grams that a piece of text is handled in.
 PIECE = 1 << 20
 
@@ -263,6 +266,29 @@ def thresholds(measured: DataFrame, quantile: float, least: int) -> DataFrame:
     return reached.groupBy("g").agg(F.min("step").alias("step")).select("g.*", "step")
 
 
+def own_limits(measured: DataFrame, quantile: float, least: int) -> DataFrame:
+    """lang, step: limits of languages with fewer than `least` rows, from their own rows alone.
+
+    The larger of the quantile and the normal tolerance limit, mean + k * deviation (Natrella's
+    approximation of k): it is above the quantile of the language's documents with CONFIDENCE, and k
+    widens as rows get fewer. Below three rows it is infinite, and the language has no limit.
+    """
+    at, sure = (NormalDist().inv_cdf(p) for p in (quantile, CONFIDENCE))
+    n = F.count("bits")
+    own = measured.groupBy("lang").agg(
+        n.alias("n"), F.avg("bits").alias("mean"), F.stddev_samp("bits").alias("deviation")
+    ).where((F.col("n") < least) & (F.col("n") >= 3))
+    a = 1 - sure**2 / (2 * (F.col("n") - 1))
+    b = at**2 - sure**2 / F.col("n")
+    k = (at + F.sqrt(F.greatest(at**2 - a * b, F.lit(0.0)))) / a
+    wide = F.ceil((F.col("mean") + k * F.col("deviation")) * STEPS)
+    own = own.where(a > 0).select("lang", wide.alias("wide"))
+    reached = thresholds(measured, quantile, 3).where("level = 1")
+    reached = reached.select(F.col("lang").alias("of"), "step")
+    both = own.join(reached, F.col("lang").eqNullSafe(F.col("of")))
+    return both.select("lang", F.greatest("wide", "step").alias("step"))
+
+
 def quality_classifier(
     docs: DataFrame,
     labels: DataFrame,
@@ -271,6 +297,7 @@ def quality_classifier(
     slack: float = 1.05,
     least: int = 30,
     seed: int = 5,
+    pooled: bool = True,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
@@ -282,8 +309,10 @@ def quality_classifier(
     Trusted documents have labels that all say quality 1 and toxic 0. Half of them, by a hash of the
     id, train the model, all their text counting; the others set the thresholds: the `quantile` of
     their perplexity per language and length class (powers of two), times `slack`. A class with fewer
-    than `least` of them takes the language's threshold; such a language, or null, that of all. The model is broadcast if its measured size is within `model_bytes`;
-    beyond it, n-grams of the documents are joined with it, with equal results.
+    than `least` of them takes the language's threshold. Such a language, or null, takes that of all if
+    `pooled`; else one from its own documents with a margin that widens as they get fewer
+    (`own_limits`), null being a language, and below three of them no threshold: all its documents
+    with text are kept. The model is broadcast if its measured size is within `model_bytes`; beyond it, n-grams of the documents are joined with it, with equal results.
 
     Adds n_bytes (long), perplexity, threshold (double) and kept (boolean); input columns of these
     names give way. A null or empty text has no perplexity and is not kept. Without any trusted text to
@@ -317,8 +346,15 @@ def quality_classifier(
     marks = rows.select("k1", "k2", "id", "lang").join(
         scratch.joinable(check, broadcast_bytes), "id", "left_semi"
     )
-    measured = marks.join(found, ["k1", "k2"])
-    edges = scratch.write(thresholds(measured, quantile, least), "thresholds")
+    measured = marks.join(found, ["k1", "k2"]).select("lang", "n_bytes", "bits")
+    measured = scratch.write(measured, "measured")
+    edges = thresholds(measured, quantile, least)
+    if not pooled:
+        few = own_limits(measured, quantile, least).select(
+            F.lit(1).alias("level"), "lang", F.lit(None).cast("int").alias("size"), "step"
+        )
+        edges = edges.where("level > 0").unionByName(few)
+    edges = scratch.write(edges, "thresholds")
     bits_of = F.col("step") / STEPS + math.log2(slack)
     names = ("n_bytes", "perplexity", "threshold", "kept")
     others = [c for c in docs.columns if c.lower() not in names]
@@ -334,8 +370,11 @@ def quality_classifier(
     close = edges.where("level = 2").select(F.col("lang").alias("of"), "size", bits_of.alias("close"))
     wide = edges.where("level = 1").select(F.col("lang").alias("by"), bits_of.alias("wide"))
     general = edges.where("level = 0").agg(F.max(bits_of).alias("general"))
-    here = (F.col("lang") == F.col("of")) & (length_class(F.col("n_bytes")) == F.col("size"))
-    out = out.join(close, here, "left").join(wide, F.col("lang") == F.col("by"), "left")
+    lang_of, lang_by = F.col("lang") == F.col("of"), F.col("lang") == F.col("by")
+    if not pooled:
+        lang_of, lang_by = F.col("lang").eqNullSafe(F.col("of")), F.col("lang").eqNullSafe(F.col("by"))
+    here = lang_of & (length_class(F.col("n_bytes")) == F.col("size"))
+    out = out.join(close, here, "left").join(wide, lang_by, "left")
     out = out.crossJoin(F.broadcast(general))
     limit = F.coalesce("close", "wide", "general")
     return out.select(

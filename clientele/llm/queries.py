@@ -105,7 +105,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    found = quality_classifier(docs, labels)
+    found = quality_classifier(docs, labels, pooled=False)
     return found.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept")
 
 

@@ -6,7 +6,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from clientele.llm.ngram_quality import quality_classifier
+from clientele.llm.ngram_quality import STEPS, own_limits, quality_classifier
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string"
@@ -89,3 +89,28 @@ def test_without_trusted_text(spark):
     assert found[1].kept and found[1].threshold is None and found[1].perplexity == pytest.approx(256)
     assert not found[2].kept
     assert quality_classifier(spark.createDataFrame([], SCHEMA), none).count() == 0
+
+
+@pytest.mark.parametrize("trusted", [0, 20])
+def test_rare_language_is_judged_by_its_own_text(spark, trusted):
+    """Spanish has few trusted documents or none: its clean ones are not rejected for it."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    spanish = docs.where("lang = 'es'").select("doc_id").join(labels, "doc_id")
+    clean = spanish.where("quality = 1 and toxic = 0").select("doc_id")
+    few = clean.orderBy(F.xxhash64("doc_id")).limit(trusted)
+    others = labels.join(clean, "doc_id", "left_anti")
+    marks = others.unionByName(labels.join(few, "doc_id", "left_semi"))
+    found = quality_classifier(docs, marks, pooled=False)
+    judged = found.join(clean, "doc_id", "left_semi").join(few, "doc_id", "left_anti")
+    kept = [r.kept for r in judged.select("kept").collect()]
+    assert len(kept) >= 10 and sum(kept) >= 0.95 * len(kept)
+    limits = found.where("lang = 'es' and n_bytes > 0").select("threshold").distinct().collect()
+    assert trusted or [r.threshold for r in limits] == [None]
+
+
+def test_margin_widens_as_a_language_gets_rarer(spark):
+    rows = [(f"l{n}", 64, k / (n - 1)) for n in (2, 3, 5, 10, 29) for k in range(n)]
+    measured = spark.createDataFrame(rows, "lang string, n_bytes long, bits double")
+    steps = {r.lang: r.step for r in own_limits(measured, 0.99, 30).collect()}
+    assert set(steps) == {"l3", "l5", "l10", "l29"}
+    assert steps["l3"] > steps["l5"] > steps["l10"] > steps["l29"] > STEPS
