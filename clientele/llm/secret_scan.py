@@ -48,6 +48,13 @@ ENCODINGS = {
         SMALL.upper() + SMALL + DIGITS + "-_",
     ),
 }
+#: Tried next, and then these and the first ones of a single case on the token without - and _.
+LATER = {
+    "base36_upper": (r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", DIGITS + SMALL.upper()),
+    "base52": (r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", SMALL.upper() + SMALL),
+}
+SINGLE_CASE = ("hex", "hex_upper", "base32", "base36")
+LEAST_TOKEN = 20
 #: Steps per unit of -log10 of a p-value, and the largest such value told apart.
 STEPS, LARGEST = 32, 64
 
@@ -101,15 +108,45 @@ def matches(texts: DataFrame, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     return rows.select(*other, "kind", "match", (end - size).alias("start"), end.alias("end"))
 
 
-def encoded(token: Column) -> tuple[Column, Column]:
-    """Name and alphabet of the encoding that a token seems to be in; null for words and numbers."""
+def encoded(token: Column) -> tuple[Column, Column, Column]:
+    """Name and alphabet of the encoding that a token seems to be in, and its symbols.
+
+    Null for words and numbers: digits only, or letters of one case only.
+    """
     bare = F.rtrim(token, F.lit("="))
-    name, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for key, (pattern, letters) in reversed(ENCODINGS.items()):
-        fits = bare.rlike(pattern)
-        name = F.when(fits, key).otherwise(name)
-        alphabet = F.when(fits, letters).otherwise(alphabet)
-    return name, alphabet
+    joined = F.regexp_replace(bare, "[_-]", "")
+    single = {k: ENCODINGS[k] for k in SINGLE_CASE} | {"base36_upper": LATER["base36_upper"]}
+    tries = [(bare, ENCODINGS | LATER), (joined, single)]
+    none = F.lit(None).cast("string")
+    name, alphabet, symbols = none, none, none
+    for of, encodings in reversed(tries):
+        for key, (pattern, letters) in reversed(encodings.items()):
+            fits = of.rlike(pattern)
+            name = F.when(fits, key).otherwise(name)
+            alphabet = F.when(fits, letters).otherwise(alphabet)
+            symbols = F.when(fits, of).otherwise(symbols)
+    return name, alphabet, symbols
+
+
+def with_segments(tokens: DataFrame) -> DataFrame:
+    """The tokens, and what is between / - _ in them if long enough; owner: start of the token."""
+    parts = F.split("match", "[/_-]")
+    before = F.aggregate(
+        F.slice(parts, 1, F.col("at")), F.lit(0), lambda n, part: n + F.char_length(part) + 1
+    )
+    cut = tokens.where(F.col("match").rlike("[/_-]")).select(
+        "*", F.posexplode(parts).alias("at", "segment")
+    )
+    cut = cut.where(F.char_length("segment") >= LEAST_TOKEN).withColumn("first", F.col("start") + before)
+    size = F.char_length("segment")
+    same = [c for c in tokens.columns if c not in ("match", "start", "end")]
+    segments = cut.select(
+        *same, F.col("segment").alias("match"), F.col("first").alias("start"),
+        (F.col("first") + size).alias("end"), F.col("start").alias("owner"),
+        F.lit(True).alias("segment"),
+    )
+    whole = tokens.select("*", F.col("start").alias("owner"), F.lit(False).alias("segment"))
+    return whole.unionByName(segments)
 
 
 def battery(tokens: DataFrame) -> DataFrame:
@@ -119,13 +156,14 @@ def battery(tokens: DataFrame) -> DataFrame:
     correlation: of neighbouring symbols' places in the alphabet. The smallest of the three p-values
     times three stands for all. Tokens in no encoding are left out.
     """
-    name, alphabet = encoded(F.col("match"))
-    rows = tokens.select("*", name.alias("encoding"), alphabet.alias("alphabet"))
+    name, alphabet, symbols = encoded(F.col("match"))
+    rows = tokens.select(
+        "*", name.alias("encoding"), alphabet.alias("alphabet"), symbols.alias("symbols")
+    )
     rows = rows.where("encoding is not null")
-    bare = F.rtrim("match", F.lit("="))
     # places in the alphabet, from 0
     places = F.transform(
-        F.filter(F.split(bare, ""), lambda c: c != ""),
+        F.filter(F.split("symbols", ""), lambda c: c != ""),
         lambda c: (F.instr(F.col("alphabet"), c) - 1).cast("double"),
     )
     rows = rows.withColumn("x", places).withColumn("n", F.size("x").cast("double"))
@@ -175,7 +213,7 @@ def battery(tokens: DataFrame) -> DataFrame:
     )
     logp = F.least(least + math.log10(3), F.lit(0.0))
     return rows.withColumn("logp", logp).drop(
-        "x", "k", "alphabet", "pairs", "upper", "turns", "mean"
+        "x", "k", "alphabet", "symbols", "pairs", "upper", "turns", "mean"
     )
 
 
@@ -207,8 +245,9 @@ def find_secrets(
 
     Base kinds, leftmost and not overlapping within a kind: assign (a keyword, : or =, and a value of
     at least 6 characters), access (AKIA and more, 20 characters at least), hex (24 at least). Matches
-    that fail are dropped and not tried anew. The method adds tokens of 20 characters or more, in an
-    inferred encoding, for which a battery of randomness tests (see `battery`) does not reject
+    that fail are dropped and not tried anew. The method adds tokens of 20 characters or more, and such
+    segments between / - _ of tokens that are not added whole, in an inferred encoding (letters of one
+    case alone are in none; - and _ in a token of one case are passed over), for which a battery of randomness tests (see `battery`) does not reject
     randomness under false-discovery control over all tokens of the input at `rate`. A token that meets a
     base span is not added.
 
@@ -232,14 +271,16 @@ def find_secrets(
         F.col("kind").isin("access", "hex")
         | ((F.col("kind") == "assign") & (F.char_length(value) >= LEAST_VALUE))
     )
-    tokens = scratch.write(battery(found.where("kind = 'token'")), "tokens")
+    tokens = scratch.write(battery(with_segments(found.where("kind = 'token'"))), "tokens")
     mean = tokens.agg(F.avg("n")).first()[0] or 1.0
     # larger weights make p-values smaller
     weighted = -F.col("logp") + F.log10(F.col("n") / F.lit(mean))
     step = F.floor(F.least(F.greatest(weighted, F.lit(0.0)), F.lit(float(LARGEST))) * STEPS)
     tested = tokens.withColumn("step", step.cast("int"))
     random = tested.where(F.col("step") < rejection_step(tested, rate))
-    both = base.unionByName(random.select(base.columns))
+    none = F.lit(None)
+    both = base.select("*", none.cast("long").alias("owner"), F.lit(False).alias("segment"))
+    both = both.unionByName(random.select(both.columns))
     by_text = W.partitionBy("rid")
     is_base = F.col("kind") != "token"
     reached = F.max(F.when(is_base, F.col("end"))).over(
@@ -254,6 +295,9 @@ def find_secrets(
         F.coalesce("follows", F.col("end")) < F.col("end")
     )
     spans = marked.where(is_base | ~meets)
+    # a token that is added whole stands for its segments
+    added = F.max(~F.col("segment")).over(W.partitionBy("rid", "kind", "owner"))
+    spans = spans.withColumn("added", added).where(is_base | ~F.col("segment") | ~F.col("added"))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     one = F.struct("start", order.alias("order"), "kind", "end", "match")
     spans = spans.groupBy("k1", "k2", "rid").agg(F.sort_array(F.collect_list(one)).alias("secrets"))

@@ -135,3 +135,22 @@ def test_pii_frames(spark):
     found = pii.find_pii(spark.createDataFrame(rows, SCHEMA + ", pii int, row int")).collect()
     assert sorted(len(r.pii) for r in found) == [0, 1, 1] and {r.row for r in found} == {2}
     assert pii.find_pii(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_every_form_of_secret_is_tested(spark):
+    rng = random.Random(7)
+    low, up = string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits
+    dashed = ["-".join(token(rng, string.hexdigits[:16], n) for n in (8, 4, 4, 4, 12)) for _ in range(15)]
+    live = ["sk_live_" + token(rng, low, 24) for _ in range(15)]
+    upper = [token(rng, up, 32) for _ in range(15)]
+    letters = [token(rng, string.ascii_letters, 40) for _ in range(15)]
+    keys = [token(rng, string.ascii_letters + string.digits, 40) for _ in range(15)]
+    rows = [(k, f"see {t} there") for k, t in enumerate(dashed + live + upper + letters)]
+    rows += [(60 + k, f"see example/my-path_to/{t} there") for k, t in enumerate(keys)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()
+    spans = {r.doc_id: r.secrets for r in found}
+    for first in range(0, 75, 15):
+        assert sum(bool(spans[k]) for k in range(first, first + 15)) >= 13, first
+    for r in found:
+        assert len(r.secrets) <= 1 and all(r.text[s.start : s.end] == s.match for s in r.secrets)
+        assert r.doc_id < 60 or not r.secrets or keys[r.doc_id - 60] in r.secrets[0].match
