@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 #: Kinds in their order. The first four are the base; they stand whatever their context.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 BASE = KINDS[:4]
-#: Characters before a span in which context words count.
+#: Characters before and after a span in which context words count.
 REACH = 48
 
 # Context words, scores and patterns.
@@ -39,6 +39,16 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])")
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    c[:2]: int(c[2:])
+    for c in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 "
+        "EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 "
+        "KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 "
+        "PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+    ).split()
+}
 DIGIT = re.compile(r"[0-9]")
 CONTEXT_WORDS = {k: re.compile("|".join(v.split()), re.IGNORECASE) for k, v in CONTEXT.items()}
 
@@ -80,6 +90,22 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", done)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Candidates cut to their country's length; one that fails is left from its second character."""
+    m = IBAN.search(text)
+    while m:
+        want = IBAN_LENGTHS.get(m[0][:2])
+        at = [k for k in range(m.start(), m.end()) if text[k] != " "]
+        end = m.end() if want is None else at[want - 1] + 1 if want <= len(at) else None
+        # no character of a word follows
+        whole = end is not None and not re.match("[A-Za-z0-9]", text[end : end + 1])
+        iban = text[m.start() : end].replace(" ", "") if whole else ""
+        good = 15 <= len(iban) <= 34 and mod97(iban)
+        if good:
+            yield m.start(), end
+        m = IBAN.search(text, end if good else m.start() + 1)
+
+
 def digits_of(text: str) -> str:
     return "".join(c for c in text if c in "0123456789")
 
@@ -105,10 +131,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= len(digits_of(m[0])) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in IBAN.finditer(text):
-        iban = m[0].replace(" ", "")
-        if 15 <= len(iban) <= 34 and mod97(iban):
-            yield "iban", m.start(), m.end()
+    for start, end in ibans(text):
+        yield "iban", start, end
     for kind, pattern in (("ssn", SSN), ("local_phone", LOCAL_PHONE)):
         for m in pattern.finditer(text):
             yield kind, m.start(), m.end()
@@ -118,7 +142,8 @@ def find_spans(text: str) -> list[Span]:
     """All spans in order of start and kind; base kinds stay, others need a sufficient score."""
     out = []
     for kind, start, end in proposals(text):
-        near = CONTEXT_WORDS[kind].search(text, max(0, start - REACH), start)
+        words = CONTEXT_WORDS[kind]
+        near = words.search(text, max(0, start - REACH), start) or words.search(text, end, end + REACH)
         score = min(1.0, SCORES[kind] + (CONTEXT_SCORE if near else 0.0))
         if kind in BASE or score >= ACCEPTED:
             out.append(Span(kind, start, end, score))
@@ -175,9 +200,9 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """Spans of personal data in each text.
 
     Base kinds, leftmost and not overlapping within a kind: email; ip (parts up to 255); card (12 to
-    19 digits with a valid Luhn sum); phone (+ and 9 to 15 digits). The method adds iban (valid mod
-    97), and ssn and local_phone, which only count with a context word in the `REACH` characters
-    before them. A context word raises any span's score.
+    19 digits with a valid Luhn sum); phone (+ and 9 to 15 digits). The method adds iban (of its
+    country's length, valid mod 97), and ssn and local_phone, which only count with a context word in
+    the `REACH` characters before or after them. A context word raises any span's score.
 
     Adds pii: an array of kind, start, end (code points, end exclusive), score, text, ordered by start
     and kind; an input column of that name gives way. A null or empty text has none. Spans of

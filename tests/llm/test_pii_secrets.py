@@ -154,3 +154,23 @@ def test_every_form_of_secret_is_tested(spark):
     for r in found:
         assert len(r.secrets) <= 1 and all(r.text[s.start : s.end] == s.match for s in r.secrets)
         assert r.doc_id < 60 or not r.secrets or keys[r.doc_id - 60] in r.secrets[0].match
+
+
+@pytest.mark.parametrize(
+    "iban, after",
+    [
+        ("BE68 5390 0754 7034", " BIC GKCCBEBB"),
+        ("ES91 2100 0418 4502 0005 1332", " EUR"),
+        ("BE68 5390 0754 7034", " 2024"),
+    ],
+)
+def test_iban_before_other_words(iban, after):
+    for text in (iban + after, "AB12 3456 7890 " + iban + after):
+        assert [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"] == [iban]
+    twice = [s for s in pii.find_spans(f"{iban} {iban}") if s.kind == "iban"]
+    assert len(twice) == 2
+
+
+def test_context_after_a_span():
+    assert [s.kind for s in pii.find_spans("078-05-1120 (SSN)")] == ["ssn"]
+    assert [s.kind for s in pii.find_spans("555 123 4567 is the phone")] == ["local_phone"]
