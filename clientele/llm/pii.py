@@ -50,7 +50,11 @@ IBAN_LENGTHS = {
     ).split()
 }
 DIGIT = re.compile(r"[0-9]")
-CONTEXT_WORDS = {k: re.compile("|".join(v.split()), re.IGNORECASE) for k, v in CONTEXT.items()}
+#: Whole words, also in the plural; a word inside another one says nothing.
+CONTEXT_WORDS = {
+    k: re.compile(rf"(?<![^\W\d_])(?:{'|'.join(v.split())})s?(?![^\W\d_])", re.IGNORECASE)
+    for k, v in CONTEXT.items()
+}
 
 
 @dataclass(frozen=True)
@@ -138,13 +142,25 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
             yield kind, m.start(), m.end()
 
 
+def context_gap(kind: str, text: str, start: int, end: int) -> int | None:
+    """Characters between a span and the nearest context word within reach; None without one."""
+    words, near = CONTEXT_WORDS[kind], None
+    for m in words.finditer(text, max(0, start - REACH), start):
+        near = start - m.end()  # the last one is the nearest
+    after = words.search(text, end, end + REACH)
+    if after and (near is None or after.start() - end < near):
+        near = after.start() - end
+    return near
+
+
 def find_spans(text: str) -> list[Span]:
     """All spans in order of start and kind; base kinds stay, others need a sufficient score."""
     out = []
     for kind, start, end in proposals(text):
-        words = CONTEXT_WORDS[kind]
-        near = words.search(text, max(0, start - REACH), start) or words.search(text, end, end + REACH)
-        score = min(1.0, SCORES[kind] + (CONTEXT_SCORE if near else 0.0))
+        gap = context_gap(kind, text, start, end)
+        # a word at the end of the reach counts half of one beside the span
+        bonus = 0.0 if gap is None else CONTEXT_SCORE * (1 - gap / (2 * REACH))
+        score = min(1.0, SCORES[kind] + bonus)
         if kind in BASE or score >= ACCEPTED:
             out.append(Span(kind, start, end, score))
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
@@ -201,8 +217,9 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Base kinds, leftmost and not overlapping within a kind: email; ip (parts up to 255); card (12 to
     19 digits with a valid Luhn sum); phone (+ and 9 to 15 digits). The method adds iban (of its
-    country's length, valid mod 97), and ssn and local_phone, which only count with a context word in
-    the `REACH` characters before or after them. A context word raises any span's score.
+    country's length, valid mod 97), and ssn and local_phone, which only count with a context word, a
+    whole one, in the `REACH` characters before or after them. The nearest context word raises any
+    span's score, the more the nearer it stands.
 
     Adds pii: an array of kind, start, end (code points, end exclusive), score, text, ordered by start
     and kind; an input column of that name gives way. A null or empty text has none. Spans of
@@ -211,7 +228,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     others = [c for c in docs.columns if c.lower() != "pii"]
     packed = docs.select(
-        F.struct(*[docs[c] for c in others]).alias("row"), docs[text].alias("text")
+        F.struct(*[docs[f"`{c}`"] for c in others]).alias("row"), docs[text].alias("text")
     )
     out = packed.mapInArrow(_job, packed.drop("text").schema.add("pii", SPAN_TYPE))
     return out.select(*[F.col("row").getField(c).alias(c) for c in others], "pii")
@@ -231,15 +248,27 @@ def spans_text(spans, kinds: tuple[str, ...] | None = None):
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with each span of personal data replaced by <KIND>; overlapping ones as one.
 
-    Takes what `find_pii` returns; a null text stays null.
+    Takes what `find_pii` returns. A text without spans stays as it is, a null one stays null, also
+    where spans came with it. No documents give no rows.
     """
-    mask = F.udf(_masked, "string")  # only on rows with a span
-    return docs.withColumn(
-        text, F.when(F.size("pii") > 0, mask(F.col(text), F.col("pii"))).otherwise(F.col(text))
+    every = [docs[f"`{c}`"] for c in docs.columns]
+    packed = docs.select(F.struct(*every).alias("row"), docs[text].alias("text"), docs["pii"])
+    out = packed.mapInArrow(_mask_job, packed.select("row", "text").schema)
+    return out.select(
+        *[F.col("text" if c == text else f"row.`{c}`").alias(c) for c in docs.columns]
     )
 
 
-def _masked(text: str, spans: list) -> str:
+def _mask_job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("text").to_pylist(), batch.column("pii").to_pylist(), strict=True)
+        texts = [t if t is None or not spans else _masked(t, spans) for t, spans in pairs]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("row"), pa.array(texts, pa.string())], ["row", "text"]
+        )
+
+
+def _masked(text: str, spans: list[dict]) -> str:
     out, done = [], 0
     for s in spans:
         if s["start"] >= done:
