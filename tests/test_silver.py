@@ -53,8 +53,8 @@ def test_transactions_from_loaded_text(spark):
         )
     )
     rows = {r.transaction_id: r for r in df.collect()}
-    assert sorted(rows) == ["123456", "2", "8"]
-    boston, austin, seattle = rows["123456"], rows["2"], rows["8"]
+    assert sorted(rows) == ["1234567", "2", "8"]
+    boston, austin, seattle = rows["1234567"], rows["2"], rows["8"]
     assert (boston.city, boston.state_code, boston.state) == ("Boston", "NA", "Unknown")
     assert (boston.customer_id, boston.payment_method) == ("C1", "Cash")
     assert boston.amount == Decimal("10.50")
