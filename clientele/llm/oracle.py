@@ -171,6 +171,48 @@ SELECT page_id, b AS payload_bytes, g AS payload_digest,
 FROM m
 """
 
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), fails AS (
+  SELECT d.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, mask
+), f(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS o, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+  SELECT o, s, bits[s] AS bit, list_sum(bits[1:s - 1]) AS before FROM orders, range(1, 6) r(s)
+), counted AS (
+  SELECT part, o, s, bit,
+    sum(CASE WHEN mask & (coalesce(before, 0) + bit)::BIGINT = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & coalesce(before, 0)::BIGINT <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, o, s, bit
+)
+SELECT part, o AS filter_order, s::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
 SQL = {
     "op1_quality_rules": OP1,
     "op2_ngram_jaccard_join": OP2,
@@ -178,4 +220,5 @@ SQL = {
     "op5_embedding_dedup": OP5,
     "op7_line_dedup": OP7,
     "op8_warc": OP8,
+    "op12_filter_audit": OP12,
 }

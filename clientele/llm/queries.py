@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clientele.llm import pii, secret_scan, warc
 from clientele.llm.embedding_dedup import embedding_dedup
+from clientele.llm.filter_audit import filter_audit
 from clientele.llm.line_dedup import drop_shared_lines
 from clientele.llm.lines import word_count
 from clientele.llm.mixing import mix_sources
@@ -115,6 +116,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_digest(secret_scan.spans_text, "secrets", secret_scan.BASE))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -126,4 +131,5 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
+    "op12_filter_audit": op12_filter_audit,
 }
