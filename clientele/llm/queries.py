@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clientele.llm import pii, secret_scan, warc
 from clientele.llm.embedding_dedup import embedding_dedup
 from clientele.llm.filter_audit import filter_audit
+from clientele.llm.html_extract import extract_text
 from clientele.llm.line_dedup import drop_shared_lines
 from clientele.llm.lines import word_count
 from clientele.llm.mixing import mix_sources
@@ -116,6 +117,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_digest(secret_scan.spans_text, "secrets", secret_scan.BASE))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -131,5 +137,6 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_secret_scan": op10_secret_scan,
+    "op11_html_extraction": op11_html_extraction,
     "op12_filter_audit": op12_filter_audit,
 }
