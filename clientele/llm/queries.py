@@ -17,9 +17,11 @@ from clientele.llm.ngram_quality import quality_classifier
 from clientele.llm.piece_codec import encode_pieces
 from clientele.llm.quality_rules import STATS, quality_rules
 from clientele.llm.scratch import Scratch
+from clientele.llm.token_alignment import link_digest
 
-#: The vocabulary file of op4 and of the pipeline; read, never copied.
+#: The vocabulary files of op4, op13 and the pipeline; read, never copied.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +128,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_digest(table(spark, sf_dir, "documents"), BYTE_MODEL, PIECE_MODEL)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -139,4 +145,5 @@ QUERIES: dict[str, Query] = {
     "op10_secret_scan": op10_secret_scan,
     "op11_html_extraction": op11_html_extraction,
     "op12_filter_audit": op12_filter_audit,
+    "op13_token_alignment": op13_token_alignment,
 }
