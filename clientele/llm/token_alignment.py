@@ -10,6 +10,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,14 @@ from clientele.llm.flat import sums
 from clientele.llm.scratch import Scratch
 
 MARK = "▁"  # stands for a space in B's pieces
-#: Distinct chunks of text kept aligned in a worker, and their characters.
-MEMORY, MEMORY_CHARS = 150_000, 4 << 20
+#: Distinct chunks of text kept aligned in a worker, and their characters. Beyond, half are kept: those
+#: that were used most.
+MEMORY, MEMORY_CHARS = 200_000, 4 << 20
+#: Chunks that the libraries get as one text; long texts are slower by the character.
+RUN = 100
 POOLS = ("a", "b", "a_sizes", "b_sizes")
 #: Characters of text aligned at once; a longer single document is aligned alone.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Id pairs that are broadcast at most.
 FREQUENT_PAIRS = 1 << 18
 
@@ -67,6 +71,20 @@ def token_ends(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.nd
     return out if (out == spelled).all() else None
 
 
+class Spelling:
+    """The bytes of a vocabulary's entries."""
+
+    def __init__(self, entries: list[bytes]):
+        self.sizes = np.array([len(t) for t in entries], dtype=np.int64)
+        self._starts = np.cumsum(self.sizes) - self.sizes
+        self._data = np.frombuffer(b"".join(entries), dtype=np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        before = np.cumsum(sizes) - sizes
+        return self._data[np.arange(sizes.sum()) + np.repeat(self._starts[ids] - before, sizes)].tobytes()
+
+
 class Aligner:
     """Aligns chunks of texts; keeps what it has aligned for the chunks that come again."""
 
@@ -77,17 +95,16 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor()
         self.b.LoadFromSerializedProto(b_model)
         symbols, vocabulary = byte_symbols(), self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, k in vocabulary.items():
             known = all(c in symbols for c in entry)
-            self.a_bytes[k] = bytes(symbols[c] for c in entry) if known else entry.encode()
+            a_bytes[k] = bytes(symbols[c] for c in entry) if known else entry.encode()
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
-        self.b_bytes = [
+        b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(MARK, " ").encode()
             for k, p in enumerate(pieces)
         ]
-        self.a_sizes = np.array([len(t) for t in self.a_bytes], dtype=np.int64)
-        self.b_sizes = np.array([len(t) for t in self.b_bytes], dtype=np.int64)
+        self.a_spelling, self.b_spelling = Spelling(a_bytes), Spelling(b_bytes)
         self.splits = self._can_split(json.loads(a_json), pieces)
         self.forget()
 
@@ -104,15 +121,43 @@ class Aligner:
         self.index: dict[str, int] = {}
         self.chars = 0
         self.good = np.zeros(0, dtype=bool)
+        self.uses = np.zeros(0, dtype=np.int64)
         # per chunk, ragged: ids of A and of B, and the numbers of both in each group
         self.pools = {name: np.zeros(0, dtype=np.int32) for name in POOLS}
         self.starts = {name: np.zeros(1, dtype=np.int64) for name in POOLS}
 
+    def shrink(self) -> None:
+        """Keep the chunks that were used most, as far as they were used again."""
+        often = np.argsort(-self.uses, kind="stable")[: MEMORY // 2]
+        often = np.sort(often[self.uses[often] > 1])
+        chunks, size = list(self.index), 0
+        for n, k in enumerate(often):
+            size += len(chunks[k])
+            if size > MEMORY_CHARS // 2:
+                often = often[:n]
+                break
+        kept = [chunks[k] for k in often]
+        self.index = dict(zip(kept, range(len(kept))))
+        self.chars = sum(map(len, kept))
+        for name in POOLS:
+            self.pools[name], bounds = self._gather(name, often)
+            self.starts[name] = bounds
+        self.good, self.uses = self.good[often], self.uses[often] // 2
+
+    def _gather(self, name: str, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of chunks in a pool, and their bounds."""
+        starts = self.starts[name]
+        first, sizes = starts[picked], starts[picked + 1] - starts[picked]
+        before = np.concatenate(([0], np.cumsum(sizes)))
+        places = np.arange(before[-1]) + np.repeat(first - before[:-1], sizes)
+        return self.pools[name][places], before
+
     def _keep(self, chunks: list[str], found: dict[str, np.ndarray] | None, bounds: dict | None) -> None:
         """Chunks and their ragged results; None: of no chunk do the tokens make the text."""
         self.index.update(zip(chunks, range(len(self.good), len(self.good) + len(chunks))))
         self.chars += sum(map(len, chunks))
         self.good = np.concatenate((self.good, np.full(len(chunks), found is not None)))
+        self.uses = np.concatenate((self.uses, np.zeros(len(chunks), dtype=np.int64)))
         for name in POOLS:
             end = self.starts[name][-1]
             if found is None:
@@ -124,25 +169,30 @@ class Aligner:
 
     def _try(self, chunks: list[str]) -> bool:
         """Align chunks as one text, if the tokens' bytes make it again."""
-        text = " " + " ".join(chunks)
+        runs = [" " + " ".join(chunks[k : k + RUN]) for k in range(0, len(chunks), RUN)]
+        text = "".join(runs)
         data = text.encode()
-        encoding = self.a.encode(text, add_special_tokens=False)
-        pieces = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
-        a_ids, b_ids = encoding.ids, [p.id for p in pieces]
-        if b"".join([self.a_bytes[k] for k in a_ids]) != data:
+        encodings = self.a.encode_batch(runs, add_special_tokens=False)
+        protos = self.b.encode([r[1:] for r in runs], return_type="proto", num_threads=1)
+        a = np.fromiter(chain.from_iterable([e.ids for e in encodings]), dtype=np.int64)
+        pieces = [proto.pieces for proto in protos]
+        spelled = [x for run in pieces for p in run for x in (p.id, p.begin, p.end)]
+        b, b_begins, b_stops = np.array(spelled, dtype=np.int64).reshape(-1, 3).T
+        if self.a_spelling.bytes_of(a) != data or self.b_spelling.bytes_of(b) != data:
             return False
-        if b"".join([self.b_bytes[k] for k in b_ids]) != data:
-            return False
-        a, b = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
         at = byte_offsets(text)
-        spans = at[np.array(encoding.offsets, dtype=np.int64).reshape(-1, 2)]
-        a_ends = token_ends(spans[:, 0], spans[:, 1], self.a_sizes[a])
-        # B's spans are bytes of the text without the space in front, which belongs to the first token
-        own = np.array([(p.begin, p.end) for p in pieces], dtype=np.int64) + 1
-        own[own[:, 0] == 1, 0] = 0
-        b_ends = token_ends(own[:, 0], own[:, 1], self.b_sizes[b])
+        # A's spans are characters of its run
+        begins = np.cumsum([0, *map(len, runs)])[:-1]
+        offsets = chain.from_iterable(chain.from_iterable([e.offsets for e in encodings]))
+        own = np.fromiter(offsets, dtype=np.int64).reshape(-1, 2)
+        spans = at[own + np.repeat(begins, [len(e) for e in encodings])[:, None]]
+        a_ends = token_ends(spans[:, 0], spans[:, 1], self.a_spelling.sizes[a])
+        # B's are bytes of its run without the space in front, which belongs to the first token
+        base = np.repeat(at[begins], [len(run) for run in pieces])
+        b_starts = base + np.where(b_begins > 0, b_begins + 1, 0)
+        b_ends = token_ends(b_starts, base + b_stops + 1, self.b_spelling.sizes[b])
         if a_ends is None or b_ends is None:
-            a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+            a_ends, b_ends = np.cumsum(self.a_spelling.sizes[a]), np.cumsum(self.b_spelling.sizes[b])
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_last, b_last = np.searchsorted(a_ends, common), np.searchsorted(b_ends, common)
         found = {
@@ -193,24 +243,21 @@ class Aligner:
         cut = [self.chunks(t) if t else [] for t in texts]
         fresh = dict.fromkeys(c for chunks in cut for c in chunks)
         if len(self.index) + len(fresh) > MEMORY or self.chars > MEMORY_CHARS:
-            self.forget()
+            self.shrink()
         known = self.index
         fresh = [c for c in fresh if c not in known]
         if fresh:
             self._learn(fresh)
         picked = np.array([known[c] for chunks in cut for c in chunks], dtype=np.int64)
         bounds = np.cumsum([0, *map(len, cut)])
+        self.uses += np.bincount(picked, minlength=len(self.uses))
         good = self.good[picked]
         whole = sums(~good, bounds) == 0
         picked = picked[np.repeat(whole, np.diff(bounds))]
         bounds = np.concatenate(([0], np.cumsum(np.where(whole, np.diff(bounds), 0))))
         out = {}
-        for name, pool in self.pools.items():
-            starts = self.starts[name]
-            first, sizes = starts[picked], starts[picked + 1] - starts[picked]
-            before = np.concatenate(([0], np.cumsum(sizes)))
-            places = np.arange(before[-1]) + np.repeat(first - before[:-1], sizes)
-            out[name] = pool[places]
+        for name in POOLS:
+            out[name], before = self._gather(name, picked)
             out[f"{name}_bounds"] = before[bounds]
         return out
 
@@ -286,7 +333,7 @@ def _results(found: dict[str, np.ndarray], b_size: int) -> tuple[pa.Array, pa.Ar
 def _job(mark: str, files):
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(mark, files)
-        b_size = len(aligner.b_bytes)
+        b_size = len(aligner.b_spelling.sizes)
         for batch in batches:
             rows = batch.column("row")
             for first, texts in _slices(batch.column("text")):

@@ -118,7 +118,7 @@ def aligner():
 
 
 def groups_of(aligner, texts):
-    groups, _ = ta._results(aligner.align(texts), len(aligner.b_bytes))
+    groups, _ = ta._results(aligner.align(texts), len(aligner.b_spelling.sizes))
     return [[(g["a"], g["b"]) for g in own] for own in groups.to_pylist()]
 
 
@@ -144,7 +144,9 @@ def test_memory_is_bounded(aligner, monkeypatch):
     texts = [f"w{k} x{k % 3} y z{k * 7}" for k in range(60)]
     got = [groups_of(aligner, texts[i : i + 5]) for i in range(0, 60, 5)]
     assert sum(got, []) == [plain_groups(t) for t in texts]
-    assert len(aligner.index) <= 30
+    assert len(aligner.index) <= 30 and {"y", "x0"} <= set(aligner.index)
+    monkeypatch.setattr(ta, "MEMORY_CHARS", 12)
+    assert [groups_of(aligner, [t]) for t in texts] == [[plain_groups(t)] for t in texts]
 
 
 def test_coarse_spans_are_refined_where_tokens_share_a_character(aligner):
