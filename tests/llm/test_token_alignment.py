@@ -118,8 +118,12 @@ def aligner():
 
 
 def groups_of(aligner, texts):
-    groups, _ = ta._results(aligner.align(texts), len(aligner.b_spelling.sizes))
-    return [[(g["a"], g["b"]) for g in own] for own in groups.to_pylist()]
+    found = aligner.align(texts)
+    groups = [[(g["a"], g["b"]) for g in own] for own in ta._groups(found).to_pylist()]
+    assert ta._texts(found, aligner).to_pylist() == [
+        ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in own) for own in groups
+    ]
+    return groups
 
 
 def test_odd_texts_equal_whole_encoding(aligner):
