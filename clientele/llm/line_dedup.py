@@ -11,6 +11,7 @@ def drop_shared_lines(
     docs: DataFrame,
     min_docs: int = 10,
     min_chars: int = 1,
+    keep_first: bool = False,
     doc_id: str = "doc_id",
     text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -18,7 +19,8 @@ def drop_shared_lines(
     """The documents without lines whose key at least `min_docs` documents have.
 
     A line's key is the line without ASCII white space at its ends, A-Z in lower case; keys below
-    `min_chars` code points never count. Lines are exploded and hashed (128 bits), distinct documents
+    `min_chars` code points never count. With `keep_first` the document with the smallest id keeps such
+    lines, so that of a text that many documents repeat one copy stays. Lines are exploded and hashed (128 bits), distinct documents
     are counted per hash, and the positions of frequent lines go back to their documents, whose
     other lines are joined again in order.
 
@@ -40,9 +42,9 @@ def drop_shared_lines(
     keys = L.line_keys(F.col("text"), min_chars).alias("keys")
     keyed = scratch.write(base.select("id", "k1", "k2", keys), "keys")
     counted = L.documents_per_key(keyed, []).where(F.col("n_docs") >= min_docs)
-    frequent = scratch.write(counted.select("h1", "h2"), "frequent")
+    frequent = scratch.write(counted.select("h1", "h2", "first"), "frequent")
     marked = scratch.write(
-        L.marked_lines(keyed, frequent, [], scratch, broadcast_bytes), "marked"
+        L.marked_lines(keyed, frequent, [], scratch, broadcast_bytes, keep_first), "marked"
     )
     scratch.drop(frequent, keyed)
     out = base.join(scratch.joinable(marked, broadcast_bytes), ["k1", "k2"], "left").select(

@@ -50,7 +50,8 @@ def split_lines(text: Column) -> Column:
 
 
 def documents_per_key(rows: DataFrame, group: list[str]) -> DataFrame:
-    """Distinct documents of each line key, by `group`. rows: id, keys and the group's columns.
+    """Distinct documents of each line key and their smallest id, by `group`. rows: id, keys and the
+    group's columns.
 
     The keys of a row are made distinct before they are exploded, so a line that stands in every
     document costs one partial row per task. Rows without an id count as one document.
@@ -59,20 +60,25 @@ def documents_per_key(rows: DataFrame, group: list[str]) -> DataFrame:
     each = rows.select(*group, "id", F.explode_outer(F.array_distinct("keys")).alias("key"))
     each = each.where("key is not null").select(*group, "id", "key.*")
     known = F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))
-    return each.groupBy(*group, "h1", "h2").agg(known.cast("long").alias("n_docs"))
+    return each.groupBy(*group, "h1", "h2").agg(known.cast("long").alias("n_docs"), F.min("id").alias("first"))
 
 
 def marked_lines(
     rows: DataFrame, frequent: DataFrame, group: list[str], scratch: Scratch,
-    limit: int = BROADCAST_BYTES,
+    limit: int = BROADCAST_BYTES, keep_first: bool = False,
 ) -> DataFrame:
     """k1, k2 (of the row) and its distinct positions whose key is frequent.
 
-    `frequent` is a written table: broadcast if small, else joined by a shuffle on the key.
+    `frequent` is a written table: broadcast if small, else joined by a shuffle on the key. With
+    `keep_first` the lines of the document with the key's smallest id (column first) do not count; if
+    no document with the key has an id, those of none do.
     """
-    each = rows.select("k1", "k2", *group, F.posexplode_outer("keys").alias("at", "key"))
-    each = each.where("key is not null").select("k1", "k2", *group, "at", "key.*")
+    own = ["id"] if keep_first else []
+    each = rows.select("k1", "k2", *own, *group, F.posexplode_outer("keys").alias("at", "key"))
+    each = each.where("key is not null").select("k1", "k2", *own, *group, "at", "key.*")
     on = [each[c].eqNullSafe(frequent[c]) for c in [*group, "h1", "h2"]]
+    if keep_first:
+        on.append(~each["id"].eqNullSafe(frequent["first"]))
     hits = each.join(scratch.joinable(frequent, limit), on, "left_semi")
     return hits.groupBy("k1", "k2").agg(F.collect_set("at").alias("marked"))
 

@@ -244,13 +244,12 @@ def length_class(n_bytes):
 def thresholds(measured: DataFrame, quantile: float, least: int) -> DataFrame:
     """level, lang, size, step: the quantile of log2 perplexity, in steps.
 
-    Level 2 is by language and length class, as short texts vary more; level 1 by language, level 0
-    of all rows. Groups of less than `least` rows are left out but at level 0. Exact to one step: rows
-    are counted per group and step, and only these counts are ordered.
+    Level 2 is by language and length class, as short texts vary more; level 1 by language. Groups of
+    less than `least` rows are left out. Exact to one step: rows are counted per group and step, and
+    only these counts are ordered.
     """
     none = F.lit(None)
     levels = F.array(
-        F.struct(F.lit(0).alias("level"), none.cast("string").alias("lang"), none.cast("int").alias("size")),
         F.struct(F.lit(1).alias("level"), "lang", none.cast("int").alias("size")),
         F.struct(F.lit(2).alias("level"), "lang", length_class(F.col("n_bytes")).alias("size")),
     )
@@ -261,8 +260,7 @@ def thresholds(measured: DataFrame, quantile: float, least: int) -> DataFrame:
     counts = counts.withColumn("total", F.sum("c").over(by)).withColumn(
         "run", F.sum("c").over(by.orderBy("step").rowsBetween(W.unboundedPreceding, 0))
     )
-    enough = (F.col("g.level") == 0) | (F.col("total") >= least)
-    reached = counts.where(enough & (F.col("run") >= F.col("total") * F.lit(quantile)))
+    reached = counts.where((F.col("total") >= least) & (F.col("run") >= F.col("total") * F.lit(quantile)))
     return reached.groupBy("g").agg(F.min("step").alias("step")).select("g.*", "step")
 
 
@@ -297,7 +295,6 @@ def quality_classifier(
     slack: float = 1.05,
     least: int = 30,
     seed: int = 5,
-    pooled: bool = True,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
@@ -309,10 +306,11 @@ def quality_classifier(
     Trusted documents have labels that all say quality 1 and toxic 0. Half of them, by a hash of the
     id, train the model, all their text counting; the others set the thresholds: the `quantile` of
     their perplexity per language and length class (powers of two), times `slack`. A class with fewer
-    than `least` of them takes the language's threshold. Such a language, or null, takes that of all if
-    `pooled`; else one from its own documents with a margin that widens as they get fewer
-    (`own_limits`), null being a language, and below three of them no threshold: all its documents
-    with text are kept. The model is broadcast if its measured size is within `model_bytes`; beyond it, n-grams of the documents are joined with it, with equal results.
+    than `least` of them takes the language's threshold. A language with fewer has one from its own
+    documents with a margin that widens as they get fewer (`own_limits`), null being a language; below
+    three of them it has none, and all its documents with text are kept: no language is judged by
+    another's. The model is broadcast if its measured size is within `model_bytes`; beyond it, n-grams of
+    the documents are joined with it, with equal results.
 
     Adds n_bytes (long), perplexity, threshold (double) and kept (boolean); input columns of these
     names give way. A null or empty text has no perplexity and is not kept. Without any trusted text to
@@ -349,11 +347,10 @@ def quality_classifier(
     measured = marks.join(found, ["k1", "k2"]).select("lang", "n_bytes", "bits")
     measured = scratch.write(measured, "measured")
     edges = thresholds(measured, quantile, least)
-    if not pooled:
-        few = own_limits(measured, quantile, least).select(
-            F.lit(1).alias("level"), "lang", F.lit(None).cast("int").alias("size"), "step"
-        )
-        edges = edges.where("level > 0").unionByName(few)
+    few = own_limits(measured, quantile, least).select(
+        F.lit(1).alias("level"), "lang", F.lit(None).cast("int").alias("size"), "step"
+    )
+    edges = edges.unionByName(few)
     edges = scratch.write(edges, "thresholds")
     bits_of = F.col("step") / STEPS + math.log2(slack)
     names = ("n_bytes", "perplexity", "threshold", "kept")
@@ -365,18 +362,14 @@ def quality_classifier(
         k2.alias("k2"),
     )
     out = packed.join(scratch.joinable(found, broadcast_bytes), ["k1", "k2"], "left")
-    # a row per language and length class at most, and one over all
+    # a row per language and length class at most
     edges = scratch.joinable(edges, broadcast_bytes)
     close = edges.where("level = 2").select(F.col("lang").alias("of"), "size", bits_of.alias("close"))
     wide = edges.where("level = 1").select(F.col("lang").alias("by"), bits_of.alias("wide"))
-    general = edges.where("level = 0").agg(F.max(bits_of).alias("general"))
-    lang_of, lang_by = F.col("lang") == F.col("of"), F.col("lang") == F.col("by")
-    if not pooled:
-        lang_of, lang_by = F.col("lang").eqNullSafe(F.col("of")), F.col("lang").eqNullSafe(F.col("by"))
+    lang_of, lang_by = F.col("lang").eqNullSafe(F.col("of")), F.col("lang").eqNullSafe(F.col("by"))
     here = lang_of & (length_class(F.col("n_bytes")) == F.col("size"))
     out = out.join(close, here, "left").join(wide, lang_by, "left")
-    out = out.crossJoin(F.broadcast(general))
-    limit = F.coalesce("close", "wide", "general")
+    limit = F.coalesce("close", "wide")
     return out.select(
         *[F.col("row").getField(c).alias(c) for c in others],
         F.coalesce("n_bytes", F.lit(0)).cast("long").alias("n_bytes"),

@@ -34,13 +34,13 @@ WITH d AS (
 ), hosts AS (
   SELECT source, count(DISTINCT doc_id) AS hd FROM documents GROUP BY source
 ), freq AS (
-  SELECT source, k, count(DISTINCT doc_id) AS n FROM lk WHERE k <> '' GROUP BY source, k
+  SELECT source, k, count(DISTINCT doc_id) AS n, min(doc_id) AS first FROM lk WHERE k <> '' GROUP BY source, k
 ), above AS (
-  SELECT f.source, f.k FROM freq f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
-  WHERE n > 10 AND n > hd * 0.1::DOUBLE
+  SELECT f.source, f.k, f.first FROM freq f JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
+  WHERE n > 10 OR (n > 5 AND n > hd * 0.5::DOUBLE)
 ), lost AS (
   SELECT doc_id, sum(nw) AS n FROM lk JOIN above a
-  ON lk.source IS NOT DISTINCT FROM a.source AND lk.k = a.k GROUP BY doc_id
+  ON lk.source IS NOT DISTINCT FROM a.source AND lk.k = a.k AND lk.doc_id IS DISTINCT FROM a.first GROUP BY doc_id
 ), s AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words,
     coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,

@@ -92,7 +92,7 @@ def _keyed(docs: DataFrame, doc_id: str, host: str, text: str) -> DataFrame:
 
 
 def boilerplate(
-    keyed: DataFrame, scratch: Scratch, min_docs: int, host_share: float, limit: int
+    keyed: DataFrame, scratch: Scratch, min_docs: int, host_share: float, share_docs: int, limit: int
 ) -> DataFrame:
     """A written row per document (k1, k2) with lines above its host's limit: their positions."""
     keys = L.line_keys(F.col("text")).alias("keys")
@@ -100,16 +100,19 @@ def boilerplate(
     hosts = rows.groupBy("host").agg(
         (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("host_docs")
     )
-    counted = L.documents_per_key(rows, ["host"]).where(F.col("n_docs") > min_docs)
+    counted = L.documents_per_key(rows, ["host"]).where(F.col("n_docs") > min(min_docs, share_docs))
     counted = scratch.write(counted, "counted")
     hosts = scratch.write(hosts.withColumnRenamed("host", "of"), "hosts")
+    many = F.col("n_docs") > min_docs
+    much = (F.col("n_docs") > share_docs) & (F.col("n_docs") > F.col("host_docs") * F.lit(host_share))
     above = (
         counted.join(scratch.joinable(hosts, limit), F.col("host").eqNullSafe(F.col("of")))
-        .where(F.col("n_docs") > F.col("host_docs") * F.lit(host_share))
-        .select("host", "h1", "h2")
+        .where(many | much)
+        .select("host", "h1", "h2", "first")
     )
     frequent = scratch.write(above, "frequent")
-    marked = scratch.write(L.marked_lines(rows, frequent, ["host"], scratch, limit), "marked")
+    marked = L.marked_lines(rows, frequent, ["host"], scratch, limit, keep_first=True)
+    marked = scratch.write(marked, "marked")
     scratch.drop(rows, counted, hosts, frequent)
     return marked
 
@@ -119,7 +122,8 @@ def quality_rules(
     min_words: int = 10,
     max_repeat_percent: int = 20,
     min_docs: int = 10,
-    host_share: float = 0.1,
+    host_share: float = 0.5,
+    share_docs: int = 5,
     min_left_words: int = 10,
     min_left_share: float = 0.3,
     width: int = 5,
@@ -135,8 +139,10 @@ def quality_rules(
 
     Method: lines are normalised (ASCII white space off both ends, A-Z lower) and hashed; distinct
     documents are counted per host and hash. A line is boilerplate on a host where more than
-    `min_docs` documents and more than `host_share` of the host's documents have it. `clean_text` is
-    the text without such lines. A document is depleted if it lost lines and keeps fewer than
+    `min_docs` documents have it, however many the host has, and on a small host also where more than
+    `host_share` of its documents have it, if those are more than `share_docs`. The host's document of
+    smallest id keeps it, so that one of many copies of a text stays. `clean_text` is the text without
+    such lines. A document is depleted if it lost lines and keeps fewer than
     `min_left_words` words or less than `min_left_share` of its words. `kept`: neither base_failed
     nor depleted.
 
@@ -148,7 +154,7 @@ def quality_rules(
     """
     scratch = Scratch(docs.sparkSession, "quality-rules")
     keyed = _keyed(docs, doc_id, host, text)
-    marked = boilerplate(keyed, scratch, min_docs, host_share, broadcast_bytes)
+    marked = boilerplate(keyed, scratch, min_docs, host_share, share_docs, broadcast_bytes)
     k1, k2 = L.pair_hash(docs[doc_id], docs[host], docs[text])
     names = (*STATS, "n_boiler_words", "base_failed", "depleted", "kept", "clean_text")
     others = [c for c in docs.columns if c.lower() not in names]

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from statistics import NormalDist, mean, stdev
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANK = " \t\n\x0b\x0c\r"
@@ -21,17 +22,18 @@ def line_key(line):
     return line.strip(BLANK).translate(LOWER)
 
 
-def drop_shared_lines(docs, min_docs=10, min_chars=1):
+def drop_shared_lines(docs, min_docs=10, min_chars=1, keep_first=False):
     """docs: (id, text). (id, text left, lines, dropped), repeated ids as one document."""
     seen = defaultdict(set)
     for i, text in docs:
         for line in (text or "").split("\n"):
             seen[line_key(line)].add(i)
     often = {k for k, ids in seen.items() if len(ids) >= min_docs and len(k) >= min_chars}
+    first = {k: min((i for i in ids if i is not None), default=None) for k, ids in seen.items()}
     out = []
     for i, text in docs:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if line_key(x) not in often]
+        kept = [x for x in lines if line_key(x) not in often or (keep_first and i == first[line_key(x)])]
         left = "\n".join(kept) if len(kept) < len(lines) else text
         out.append((i, left, len(lines), len(lines) - len(kept)))
     return out
@@ -273,3 +275,17 @@ def spans(found, kinds):
 
 def sha256(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def own_step(values, quantile=0.99, sure=0.95, steps=512):
+    """The limit of a language with few documents, in steps; None below three of them."""
+    if len(values) < 3:
+        return None
+    z, u = NormalDist().inv_cdf(quantile), NormalDist().inv_cdf(sure)
+    n = len(values)
+    a, b = 1 - u * u / (2 * (n - 1)), z * z - u * u / n
+    if a <= 0:
+        return None
+    k = (z + math.sqrt(max(z * z - a * b, 0))) / a
+    at = sorted(values)[math.ceil(quantile * n) - 1]
+    return max(math.ceil((mean(values) + k * stdev(values)) * steps), math.ceil(at * steps))

@@ -83,11 +83,43 @@ def test_boilerplate_and_depletion(spark):
     rows += [(200 + k, f"{menu}\n{words(200 + k, 5)}", "b") for k in range(5)]
     rows += [(300, f"{menu}\n{words(300, 5)}", None)]
     found = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert all(found[k].kept and found[k].clean_text == words(k, 40) for k in range(30))
+    # one document of the host keeps the line
+    assert found[0].clean_text == f"{menu}\n{words(0, 40)}" and found[0].n_boiler_words == 0
+    assert all(found[k].kept and found[k].clean_text == words(k, 40) for k in range(1, 30))
     assert all(not found[k].kept and found[k].depleted for k in (100, 101, 102))
     assert all(found[k].kept and menu in found[k].clean_text for k in (200, 204, 300))
 
 
+def test_each_limit_flags_lines(spark):
+    """Eleven documents are enough on a host of any size; on a small one more than half, from six on."""
+    menu = "Home about us contact imprint and more links to follow here"
+
+    def flagged(shared, others):
+        rows = [(k, f"{menu}\n{words(k, 40)}", "h") for k in range(shared)]
+        rows += [(1000 + k, words(1000 + k, 20), "h") for k in range(others)]
+        found = quality_rules(spark.createDataFrame(rows, SCHEMA)).where("n_boiler_words > 0")
+        return sorted(r.doc_id for r in found.collect())
+
+    assert flagged(11, 400) == list(range(1, 11))
+    assert flagged(10, 400) == [] and flagged(10, 10) == []
+    assert flagged(6, 5) == list(range(1, 6)) and flagged(6, 6) == [] and flagged(5, 0) == []
+
+
+def test_of_many_copies_one_is_kept(spark):
+    rows = [(k, words(1, 40), "h") for k in range(40)] + [(None, words(2, 40), "h")] * 3
+    found = quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(str(r.doc_id) for r in found if r.kept) == ["0", "None", "None", "None"]
+
+
+def test_line_dedup_keeps_the_first(spark):
+    rows = documents()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for limit in (0, 16 << 20):
+        found = drop_shared_lines(docs, keep_first=True, broadcast_bytes=limit)
+        want = plain.drop_shared_lines([(i, t) for i, t, _ in rows], keep_first=True)
+        assert sorted([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()], key=str) == sorted(want, key=str)
+
+
 def test_quality_rules_pass_other_columns_on(spark):
     rows = [(1, "a b", "s", "old", 5, 7)]
     columns = SCHEMA + ", kept string, extra int, k1 int"
