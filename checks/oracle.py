@@ -440,6 +440,60 @@ OPERATORS = {
                CASE WHEN satisfaction_category = 'High' THEN 'update_postimage'
                     ELSE 'insert' END AS change
         FROM s_support""",
+    "upsert_small_batches": """
+        SELECT ticket_id, customer_id, created_at, resolved_at, resolution_time_hours,
+               coalesce(issue_type, 'Other') AS issue_type, satisfaction_score, satisfaction_category,
+               TIMESTAMP '2024-02-01' AS created_timestamp,
+               CASE WHEN CAST(ticket_id[2:] AS BIGINT) % 2 = 0 AND issue_type IS NOT NULL
+                    THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS updated_timestamp
+        FROM s_support""",
+    "change_feed": """
+        WITH t AS (SELECT issue_type, CAST(ticket_id[2:] AS BIGINT) % 2 AS half FROM s_support), c AS (
+          SELECT 'insert' AS change, CASE WHEN half = 1 THEN coalesce(issue_type, 'Other') ELSE issue_type END
+              AS issue_type FROM t
+          UNION ALL SELECT 'update_preimage', issue_type FROM t WHERE half = 0 AND issue_type IS NULL
+          UNION ALL SELECT 'update_postimage', 'Other' FROM t WHERE half = 0 AND issue_type IS NULL)
+        SELECT change, issue_type, count(*) AS row_count FROM c GROUP BY change, issue_type""",
+    "keys_after_growth": """
+        SELECT count(*) AS row_count, count(*) AS distinct_keys,
+               count(*) FILTER (interaction_date < DATE '2024-01-20') AS kept_keys,
+               CAST(0 AS BIGINT) AS changed_keys, 64 AS bucket_count
+        FROM s_web""",
+    "rolled_up_purchases": """
+        SELECT s.customer_id, strftime(s.transaction_date, '%Y-%m') AS month, count(*) AS row_count,
+               count(DISTINCT CASE WHEN s.payment_method = 'UPI' AND s.transaction_date < DATE '2021-01-01'
+                                   THEN 'Cash' ELSE s.payment_method END) AS distinct_count,
+               CAST(sum(CASE WHEN o.o_orderstatus = 'F' THEN s.amount + 1 ELSE s.amount END)
+                    AS DECIMAL(18, 2)) AS amount
+        FROM s_transactions s JOIN orders o ON s.transaction_id = """
+    + pad("o.o_orderkey", 6)
+    + """
+        GROUP BY s.customer_id, strftime(s.transaction_date, '%Y-%m')""",
+    "load_policies": """
+        WITH n AS (
+          SELECT (SELECT count(*) FROM f_customers) AS customers, (SELECT count(*) FROM f_support) AS support,
+                 (SELECT count(*) FROM f_customers WHERE CAST(customer_id AS BIGINT) % 10 = 0) AS odd)
+        SELECT 'customers' AS feed, 'loaded' AS outcome, 2 * customers - odd AS row_count FROM n
+        UNION ALL SELECT 'customers', 'rejected', odd FROM n
+        UNION ALL SELECT 'support' AS feed, 'loaded' AS outcome, support AS row_count FROM n
+        UNION ALL SELECT 'support', 'rejected', support FROM n
+        UNION ALL SELECT 'support', 'quarantined', 1 FROM n
+        UNION ALL SELECT 'customers', 'quarantined', 1 FROM n""",
+    "raw_history": """
+        SELECT session_id, CAST(page_views AS BIGINT) AS page_views,
+               CASE WHEN CAST(session_id[2:] AS BIGINT) % 3 = 1 THEN device END AS device,
+               CAST(CAST(session_id[2:] AS BIGINT) % 3 AS INTEGER) AS drop_number
+        FROM f_web""",
+    "run_states": """
+        SELECT 'load_transactions' AS task_name, 'SUCCESS' AS status, count(*) AS rows_processed,
+               NULL AS error_message FROM f_transactions
+        UNION ALL SELECT 'check_amounts', 'ERROR', NULL, count(*) || ' amounts are missing'
+        FROM f_transactions WHERE amount IS NULL
+        UNION ALL SELECT 'merge_transactions', 'RUNNING', NULL, NULL
+        UNION ALL SELECT 'merge_transactions', 'ORPHANED', NULL, NULL""",
+    "clock_and_user": """
+        SELECT count(*) AS row_count, count(*) AS stamped, count(*) AS signed, CAST(1 AS BIGINT) AS actors
+        FROM f_customers""",
     "audit_columns": """
         SELECT * EXCLUDE (signup_date), TIMESTAMP '2024-02-01' AS ingested_at, TIMESTAMP '2024-02-01' AS updated_at,
                'loader' AS created_by, 'loader' AS updated_by

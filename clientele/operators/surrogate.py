@@ -8,7 +8,18 @@ from clientele.session import ensure_checkpoints
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    """The hash bucket of a key, by linear hashing: any number of buckets, of which one more only
+    splits one; see `parent_of`."""
+    whole = 1 << max(buckets - 1, 0).bit_length()
+    at = F.pmod(F.xxhash64(key), F.lit(whole))
+    return F.when(at < buckets, at).otherwise(at - whole // 2).cast("int")
+
+
+def parent_of(bucket: int, buckets: int) -> int:
+    """The bucket, of the first `buckets`, that held the keys of `bucket` when there were only those."""
+    while bucket >= buckets:
+        bucket -= 1 << (bucket.bit_length() - 1)
+    return bucket
 
 
 def key_in_bucket(position: Column, bucket: Column, buckets: int) -> Column:

@@ -1,10 +1,6 @@
-"""Keyed upsert, as a frame and as a versioned folder of Parquet files."""
+"""Keyed upsert of frames, and the specifications of the keyed tables."""
 
-import json
-import threading
-import uuid
-from collections import defaultdict
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 from operator import or_
@@ -15,14 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele import schemas
-from clientele.operators import files
 from clientele.operators.surrogate import bucket_of, key_in_bucket
 from clientele.sources.audit import stamp
 
-INSERT, UPDATE = "insert", "update_postimage"
-
-# Publishing is one at a time per table within this driver.
-_PUBLISHING: defaultdict[str, threading.Lock] = defaultdict(threading.Lock)
+INSERT, UPDATE, BEFORE = "insert", "update_postimage", "update_preimage"
 
 
 @dataclass(frozen=True)
@@ -146,6 +138,45 @@ def _differs(spec: TableSpec, names: list[str]) -> Column:
     return reduce(or_, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))
 
 
+def changed_rows(
+    target: DataFrame, source: DataFrame, spec: TableSpec, buckets: int, last_key: int, as_of: datetime | None
+) -> DataFrame:
+    """What an upsert of `source` changes in `target`: the rows it writes, with `_change`.
+
+    Both have one row per key; `target` may be any part of the table that has the source's keys.
+    `_change` is 'insert', 'update_preimage' (the row as it was) or 'update_postimage'. The target is
+    read through a semi join, so a source below the broadcast threshold shuffles no table row. New
+    surrogates are above `last_key`: each bucket draws from an arithmetic sequence of its own.
+    """
+    names = [c for c in spec.columns.fieldNames() if c in source.columns]
+    kept = [c for c in spec.schema.fieldNames() if c in names or c not in spec.columns.names]
+    extra = [spec.created_from] if spec.created_from else []
+    s = source.select(F.col(spec.key).alias("_key"), F.struct(names + extra).alias("s"))
+    found = target.join(source.select(spec.key), spec.key, "left_semi")
+    t = found.select(F.col(spec.key).alias("_key"), F.struct(kept).alias("t"))
+    both = s.join(t, "_key", "left")
+    now = stamp(as_of)
+    new, old = both.where("t is null"), both.where("t is not null").where(_differs(spec, names))
+    values = {c: F.col(f"s.{c}") for c in names}
+    born = dict(values)
+    if spec.surrogate:
+        new = new.withColumn("_bucket", bucket_of(F.col("_key"), buckets))
+        rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_key"))
+        values[spec.surrogate] = F.col(f"t.{spec.surrogate}")
+        born[spec.surrogate] = F.lit(last_key) + key_in_bucket(rank, F.col("_bucket"), buckets).cast("long")
+    if spec.stamps:
+        created, updated = spec.stamps
+        values |= {created: F.col(f"t.{created}"), updated: now}
+        born |= {created: F.col(f"s.{spec.created_from}") if spec.created_from else now, updated: now}
+    inserts = new.select(F.lit(INSERT).alias("_change"), *[born[c].alias(c) for c in kept])
+    # one pass over the matches gives both images
+    images = F.array(
+        F.struct(F.lit(BEFORE).alias("_change"), *[F.col(f"t.{c}").alias(c) for c in kept]),
+        F.struct(F.lit(UPDATE).alias("_change"), *[values[c].alias(c) for c in kept]),
+    )
+    return inserts.unionByName(old.select(F.inline(images)))
+
+
 def buckets_for(size: int, per_bucket: int = 512 << 20) -> int:
     """Buckets for a table expected to grow to `size` bytes."""
     return max(8, -(-size // per_bucket))
@@ -155,139 +186,3 @@ def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     # a range of no rows: the optimizer knows its size, so joins with it are planned as small
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
     return spark.range(0).select(columns)
-
-
-@dataclass
-class Manifest:
-    """Which folder holds each bucket, and the last batch applied per writer."""
-
-    version: int = 0
-    buckets: int = 8
-    homes: dict[int, str] = field(default_factory=dict)
-    applied: dict[str, int] = field(default_factory=dict)
-
-    def dump(self) -> str:
-        return json.dumps(vars(self), sort_keys=True)
-
-    @staticmethod
-    def load(text: str) -> "Manifest":
-        raw = json.loads(text)
-        raw["homes"] = {int(k): v for k, v in raw["homes"].items()}
-        return Manifest(**raw)
-
-
-class KeyedTable:
-    """A keyed table in a folder, for where no table format with MERGE is at hand.
-
-    `data/v-N-ID/_bucket=B/_change=C` holds the rows of hash bucket B that version N inserted,
-    updated or carried over; `versions/N.json` says which folder is home to which bucket. An upsert
-    reads and rewrites only the buckets its rows fall into; the version file, written last, makes it
-    visible at once. A batch that is applied already is skipped, so a replay after a failure
-    changes nothing.
-
-    Writers may run side by side: each writes a folder of its own outside `data`, which is moved there
-    only if no other version came between; else the upsert is done anew on that version. A version
-    file is never replaced.
-
-    `buckets` is fixed when the table is made; see `buckets_for`.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 8):
-        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self._buckets = buckets
-
-    def manifest(self) -> Manifest:
-        found = [n for n in files.names(self.spark, f"{self.path}/versions") if n[0].isdigit()]
-        if not found:
-            return Manifest(buckets=self._buckets)
-        return Manifest.load(files.read_text(self.spark, f"{self.path}/versions/{found[-1]}"))
-
-    def read(self) -> DataFrame:
-        return self._read(self.manifest(), None)
-
-    def _read(self, manifest: Manifest, only: set[int] | None) -> DataFrame:
-        folders = [
-            f"{self.path}/data/{home}/_bucket={bucket}"
-            for bucket, home in sorted(manifest.homes.items())
-            if only is None or bucket in only
-        ]
-        if not folders:
-            return empty_table(self.spark, self.spec)
-        reader = self.spark.read.schema(self.spec.schema).option("recursiveFileLookup", "true")
-        return reader.parquet(*folders)
-
-    def read_changes(self, **options) -> DataFrame:
-        """Stream of the rows that versions inserted or updated, with `_change` and `_version`.
-
-        A version that was moved into place but not published is written again under other names, so
-        rows may come twice; consumers upsert, newest `_version` first.
-        """
-        reader = self.spark.readStream.schema(self.spec.schema).options(**options)
-        rows = reader.option("ignoreMissingFiles", "true").parquet(f"{self.path}/data/*/*/_change=[iu]*")
-        file = F.col("_metadata.file_path")
-        return rows.select(
-            "*",
-            F.regexp_extract(file, "_change=([a-z_]+)", 1).alias("_change"),
-            F.regexp_extract(file, "/data/v-([0-9]+)-", 1).cast("long").alias("_version"),
-        )
-
-    def upsert(
-        self,
-        source: DataFrame,
-        writer: str = "batch",
-        batch: int | None = None,
-        as_of: datetime | None = None,
-        order: str = "ingested_at",
-    ) -> int | None:
-        """Merge `source` into the table; returns the new version, None for a batch seen before.
-
-        `source` may hold several rows of a key; the newest by `order` counts.
-        """
-        if order in source.columns:
-            source = newest_per_key(source, self.spec.key, order)
-        while True:
-            manifest = self.manifest()
-            if batch is not None and manifest.applied.get(writer, -1) >= batch:
-                return None
-            version = self._try(manifest, source, writer, batch, as_of)
-            if version is not None:
-                return version
-
-    def _try(self, manifest, source, writer, batch, as_of) -> int | None:
-        """One upsert on top of a version; None if another one was published meanwhile."""
-        version, buckets = manifest.version + 1, manifest.buckets
-        name = f"v-{version:012d}-{uuid.uuid4().hex}"
-        attempt = f"{self.path}/attempts/{name}"
-        # into an empty table there is nothing to look up; the source is then read once
-        touched = self._buckets_of(source, buckets) if manifest.homes else set()
-        homes = dict(manifest.homes)
-        found: set[int] = set()
-        if touched or not homes:
-            target = self._read(manifest, touched)
-            merged = merge_rows(target, source, self.spec, buckets, as_of)
-            layout = merged.withColumn("_change", F.coalesce("_change", F.lit("none")))
-            layout.write.partitionBy("_bucket", "_change").parquet(attempt)
-            written = files.names(self.spark, attempt)
-            found = {int(n.split("=")[1]) for n in written if n.startswith("_bucket=")}
-            homes.update(dict.fromkeys(found, name))
-        applied = dict(manifest.applied)
-        if batch is not None:
-            applied[writer] = batch
-        done = Manifest(version, buckets, homes, applied)
-        with _PUBLISHING[self.path]:
-            if self.manifest().version != manifest.version:
-                files.remove(self.spark, attempt)
-                return None
-            if found:
-                files.move(self.spark, attempt, f"{self.path}/data/{name}")
-            try:
-                files.write_text(self.spark, f"{self.path}/versions/{version:012d}.json", done.dump())
-            except FileExistsError:  # by another driver
-                files.remove(self.spark, f"{self.path}/data/{name}")
-                return None
-        return version
-
-    def _buckets_of(self, source: DataFrame, buckets: int) -> set[int]:
-        """At most `buckets` numbers reach the driver."""
-        hit = source.select(bucket_of(F.col(self.spec.key), buckets).alias("b")).distinct()
-        return {r["b"] for r in hit.collect()}

@@ -6,14 +6,20 @@ table that has not been through the keyed upsert has no surrogates; its business
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from contextlib import suppress
+from dataclasses import replace
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.temporal import date_of
-from clientele.operators import quality
+from clientele.operators import files, quality
 from clientele.operators.joins import estimated_bytes
+from clientele.operators.keyed_table import KeyedTable, Upkeep
+from clientele.operators.rollup import Rollup
+from clientele.operators.runlog import Run, run_history, run_logged
 from clientele.operators.surrogate import assign_sk, dense_sk
 from clientele.operators.upsert import (
     SPECS,
@@ -30,8 +36,8 @@ from clientele.plans.views import VIEWS, register_views
 from clientele.schemas import AUDIT
 from clientele.session import scratch_dir, tune
 from clientele.sources import feeds
-from clientele.sources.audit import with_audit
-from clientele.sources.readers import append_raw
+from clientele.sources.audit import session_now, with_audit
+from clientele.sources.readers import append_drop, append_raw, read_drops
 from clientele.streaming.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,6 +216,170 @@ def _upsert_twice(feed: str, first: str, column: str, changed: str) -> Query:
     return query
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _in_small_batches(spark: SparkSession, sf_dir: str, batches: int) -> KeyedTable:
+    """Half of the tickets in one load, then small batches, each of new ones and of corrections.
+
+    A batch has its share of the other half, and as many of the first half again, of which only those
+    without an issue differ.
+    """
+    upkeep = Upkeep(share=0.25, least_rows=1, most_folders=8)
+    spec = SPECS["support"]
+    spec = replace(spec, when_changed=("issue_type",))
+    table = KeyedTable(spark, _folder(spark, "small-batches"), spec, 8, upkeep)
+    whole = CLEAN["support"](bronze(spark, sf_dir, "support")).drop("ingested_at")
+    whole = whole.withColumn("ingested_at", F.lit(FIRST_LOAD).cast("timestamp_ntz"))
+    path = f"{table.path}-feed"
+    number = F.expr("cast(substring(ticket_id, 2) as bigint)")
+    whole.withColumn("part", F.pmod(F.floor(number / 2), F.lit(batches))).withColumn(
+        "half", F.pmod(number, F.lit(2))
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    table.upsert(rows.where("half = 0").drop("part", "half"), "load", 0, FIRST_LOAD)
+    for k in range(batches):
+        batch = rows.where(F.col("part") == k).drop("part", "half")
+        batch = batch.withColumn("issue_type", F.coalesce("issue_type", F.lit("Other")))
+        table.upsert(batch, "load", k + 1, SECOND_LOAD)
+    return table
+
+
+def upsert_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after many small batches, some of them compacted."""
+    table = _in_small_batches(spark, sf_dir, 20)
+    return table.read().drop("ticket_id_sk", "customer_id_sk")
+
+
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the feed of those batches holds: rows by kind of change and issue."""
+    table = _in_small_batches(spark, sf_dir, 4)
+    return table.changes().groupBy("_change", "issue_type").agg(F.count("*").alias("row_count")).select(
+        F.col("_change").alias("change"), "issue_type", "row_count"
+    )
+
+
+def keys_after_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions in a table that grows from 8 to 64 buckets: surrogates stay, later ones are new."""
+    spec = SPECS["web"]
+    table = KeyedTable(spark, _folder(spark, "growth"), spec, 8)
+    rows = CLEAN["web"](bronze(spark, sf_dir, "web"))
+    early = F.col("interaction_date") < "2024-01-20"
+    table.upsert(rows.where(early), as_of=FIRST_LOAD)
+    before = table.read().select("session_id", F.col(spec.surrogate).alias("old"))
+    for buckets in (16, 40, 64):
+        table.grow(buckets)
+    table.upsert(rows.where(~early), as_of=SECOND_LOAD)
+    after = table.read().select("session_id", F.col(spec.surrogate).alias("new"))
+    both = after.join(before, "session_id", "left")
+    return both.agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("new").alias("distinct_keys"),
+        F.count_if(F.col("old") == F.col("new")).alias("kept_keys"),
+        F.count_if(F.col("old") != F.col("new")).alias("changed_keys"),
+        F.lit(table.manifest().buckets).alias("bucket_count"),
+    )
+
+
+def rolled_up_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases per customer and month after three batches with corrections, from their changes alone."""
+    spec = SPECS["transactions"]
+    table = KeyedTable(spark, _folder(spark, "rollup"), spec, 8)
+
+    def month(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("month", F.date_format("transaction_date", "yyyy-MM"))
+
+    rollup = Rollup(
+        spark, f"{table.path}-rollup", table, ["customer_id", "month"], ["amount"], "payment_method", month
+    )
+    clean = CLEAN["transactions"]
+    loaded = clean(bronze(spark, sf_dir, "transactions"))
+    corrected = clean(INGEST["transactions"](feeds.transactions(spark, sf_dir, corrected=True), SECOND_LOAD))
+    moved = corrected.withColumn(
+        "payment_method", F.when(F.col("payment_method") == "UPI", "Cash").otherwise(F.col("payment_method"))
+    )
+    early = "transaction_date < '2021-01-01'"
+    for k, batch in enumerate([loaded.where(early), corrected, moved.where(early)]):
+        table.upsert(batch, "load", k, SECOND_LOAD)
+        rollup.refresh()
+    total = F.col("sum_amount").cast("decimal(18,2)").alias("amount")
+    return rollup.read().select("customer_id", "month", "row_count", "distinct_count", total)
+
+
+def load_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing files of which some cannot be read and some have a bad value: what becomes of them.
+
+    Each feed has a good file, the start of one, as a transfer that broke off leaves it, and one in which
+    every tenth row has a value that does not fit: of customers these rows are rejected, of tickets the
+    file.
+    """
+    root = _folder(spark, "policies")
+    counts = []
+    warehouse = Warehouse(spark, f"{root}/warehouse")
+    for feed, column in (("customers", "signup_date"), ("support", "created_at")):
+        landing = f"{root}/landing/{feed}"
+        rows = INGEST[feed](raw(spark, sf_dir, feed)).coalesce(1)
+        rows.write.parquet(f"{landing}/good")
+        text = rows.withColumn(column, F.col(column).cast("string"))
+        key = rows.columns[0]
+        odd = F.regexp_extract(F.col(key), "([0-9]+)", 1).cast("bigint") % 10 == 0
+        text.withColumn(column, F.when(odd, "someday").otherwise(F.col(column))).withColumn(
+            key, F.concat(F.lit("x"), key)
+        ).write.parquet(f"{landing}/bad")
+        files.copy_start(spark, f"{landing}/good", f"{landing}/broken", 0.5)
+        warehouse.load(feed, landing, recursiveFileLookup="true").awaitTermination()
+        loaded, rejected = warehouse.bronze(feed), warehouse.rejects("load", feed)
+        quarantined = warehouse.rejects("quarantine", feed)
+        for kind, found in (("loaded", loaded), ("rejected", rejected), ("quarantined", quarantined)):
+            counts.append(found.agg(F.lit(feed).alias("feed"), F.lit(kind).alias("outcome"), F.count("*").alias("row_count")))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def raw_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops of the web feed: the first with narrow numbers, a column more, that column gone again."""
+    path = _folder(spark, "drops")
+    rows = raw(spark, sf_dir, "web").select("session_id", "page_views", "device")
+    number = F.expr("cast(substring(session_id, 2) as bigint) % 3")
+    narrow = rows.where(number == 0).select("session_id", F.col("page_views").cast("int").alias("page_views"))
+    append_drop(narrow, path)
+    append_drop(rows.where(number == 1), path)
+    append_drop(rows.where(number == 2).drop("device"), path)
+    return read_drops(spark, path).withColumnRenamed("_drop", "drop_number")
+
+
+def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run that ends well, one that fails on what it finds, one that is broken off, one long ago."""
+    path = _folder(spark, "run-log")
+    rows = bronze(spark, sf_dir, "transactions")
+
+    def check() -> None:
+        missing = rows.where("amount IS NULL").count()
+        if missing:
+            raise ValueError(f"{missing} amounts are missing")
+
+    run_logged(spark, path, "load_transactions", rows.count(), lambda: None)
+    with suppress(ValueError):
+        run_logged(spark, path, "check_amounts", rows.count(), check)
+    Run(spark, path, "merge_transactions")  # whose driver dies here
+    tasks = ["load_transactions", "check_amounts", "merge_transactions"]
+    now = run_history(spark, path, tasks, hours=24)
+    later = session_now(spark) + timedelta(days=3)
+    then = run_history(spark, path, ["merge_transactions"], hours=24 * 7, as_of=later)
+    return now.unionByName(then).select("task_name", "status", "rows_processed", "error_message")
+
+
+def clock_and_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit columns at their defaults: set by the session's clock and user, alike in all rows."""
+    rows = with_audit(raw(spark, sf_dir, "customers"))
+    return rows.agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("ingested_at").isNotNull() & (F.col("ingested_at") <= F.col("updated_at"))).alias("stamped"),
+        F.count_if(F.col("created_by") == F.col("updated_by")).alias("signed"),
+        F.count_distinct("created_by").alias("actors"),
+    )
+
+
 def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer feed with its audit columns, actor and time given."""
     rows = raw(spark, sf_dir, "customers").drop("signup_date")
@@ -338,6 +508,14 @@ def registry() -> dict[str, Query]:
             "support", "satisfaction_category = 'High'", "issue_type",
             "CASE WHEN satisfaction_score = 0 THEN 'Escalated' ELSE issue_type END",
         ),
+        "upsert_small_batches": upsert_small_batches,
+        "change_feed": change_feed,
+        "keys_after_growth": keys_after_growth,
+        "rolled_up_purchases": rolled_up_purchases,
+        "load_policies": load_policies,
+        "raw_history": raw_history,
+        "run_states": run_states,
+        "clock_and_user": clock_and_user,
         "audit_columns": audit_columns,
         "top_customers": top_customers,
         "streamed_run_log": streamed_run_log,

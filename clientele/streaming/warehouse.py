@@ -9,6 +9,7 @@ every write is either a folder named by batch or a keyed upsert that knows the b
 
 import uuid
 from collections.abc import Callable, Mapping
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +20,8 @@ from clientele import schemas
 from clientele.operators import files, quality
 from clientele.operators.joins import lookup_join
 from clientele.operators.runlog import run_history, run_logged
-from clientele.operators.upsert import (
-    GOLD_SPECS,
-    INSERT,
-    SPECS,
-    KeyedTable,
-    newest_per_key,
-)
+from clientele.operators.keyed_table import KeyedTable
+from clientele.operators.upsert import BEFORE, GOLD_SPECS, INSERT, SPECS, newest_per_key
 from clientele.plans.gold import (
     build_dim_customers,
     build_dim_sessions,
@@ -38,7 +34,7 @@ from clientele.plans.silver import CLEAN, UNKNOWN_CUSTOMER
 from clientele.plans.tables import Tables
 from clientele.session import tune
 from clientele.sources.audit import with_audit
-from clientele.sources.readers import load_typed
+from clientele.sources.readers import FILE, PROBE, extract_typed, probe_files, read_probed, split_typed
 
 FEEDS = ("customers", "transactions", "support", "web")
 NOW = {"availableNow": True}
@@ -121,24 +117,48 @@ class Warehouse:
         trigger: dict | None = None,
         **options: str,
     ) -> StreamingQuery:
-        """New landing files to bronze, each once. Text formats are read as text, then cast."""
-        if schema is None:
-            schema = schemas.LANDING[feed]
-            if fmt != "parquet":
-                schema = T.StructType([T.StructField(c, T.StringType()) for c in schema.names])
+        """New landing files to bronze, each once. Text formats are read as text, then cast.
+
+        Parquet files are first read through in tasks. One that cannot be read goes to the feed's
+        quarantine, with the reason, and the others are loaded, each by the types it has.
+        """
+        business = schemas.BRONZE[feed].fieldNames()[: -len(schemas.AUDIT)]
+        wanted = T.StructType([schemas.BRONZE[feed][c] for c in business])
         options = {**self._limits, **options}
-        landed = self.spark.readStream.schema(schema).format(fmt).options(**options).load(landing)
-        rows = landed.select("*", F.col("_metadata.file_path").alias("_file"))
+        whole = fmt == "parquet"
+        if whole:
+            landed = self.spark.readStream.schema(FILE).format("binaryFile").options(**options)
+            rows = landed.load(landing)
+        else:
+            if schema is None:
+                names = schemas.LANDING[feed].names
+                schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+            landed = self.spark.readStream.schema(schema).format(fmt).options(**options).load(landing)
+            rows = landed.select("*", F.col("_metadata.file_path").alias("_file"))
+
+        def typed(batch: DataFrame, batch_id: int) -> DataFrame | None:
+            if not whole:
+                return None if batch.isEmpty() else extract_typed(batch, wanted)
+            # one row for each file of the batch, a list the driver needs to plan the scan
+            found = probe_files(batch).collect()
+            broken = [r for r in found if r["error"] is not None]
+            if broken:
+                kept = self.spark.createDataFrame(broken, PROBE)
+                self._save(kept, self._rejects_path("quarantine", feed), stream, batch_id)
+            return read_probed(self.spark, found, wanted) if len(found) > len(broken) else None
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            if batch.isEmpty():
+            rows = typed(batch, batch_id)
+            if rows is None:
                 return
-            business = schemas.BRONZE[feed].fieldNames()[: -len(schemas.AUDIT)]
-            wanted = T.StructType([schemas.BRONZE[feed][c] for c in business])
-            good, bad = load_typed(batch, wanted, ON_ERROR[feed])
-            self._save(with_audit(good), self._bronze_path(feed), stream, batch_id)
-            if not bad.isEmpty():
-                self._save(bad, self._rejects_path("load", feed), stream, batch_id)
+            rows = rows.persist()  # typed once; a lost part is made anew from the files
+            try:
+                good, bad = split_typed(rows, wanted, ON_ERROR[feed])
+                self._save(with_audit(good), self._bronze_path(feed), stream, batch_id)
+                if not bad.isEmpty():
+                    self._save(bad, self._rejects_path("load", feed), stream, batch_id)
+            finally:
+                rows.unpersist()
 
         stream = self._stream_id(f"load_{feed}")
         return self._start(rows, f"load_{feed}", write, trigger)
@@ -166,14 +186,15 @@ class Warehouse:
 
     def refresh(self, feed: str, trigger: dict | None = None) -> StreamingQuery:
         """New silver changes to gold: the calendar first, then the feed's own table."""
-        table, task = self._silver[feed], f"refresh_{feed}"
-        rows = table.read_changes(**self._limits)
+        task = f"refresh_{feed}"
         writer = f"{task}-{self._stream_id(task)}"
 
-        def work(batch: DataFrame, batch_id: int) -> None:
-            self._refresh(feed, batch, writer, batch_id)
+        def work(changes: DataFrame, batch_id: int) -> None:
+            self._refresh(feed, changes, writer, batch_id)
 
-        return self._start(rows, task, self._logged(task, work), trigger)
+        checkpoint = f"{self.root}/checkpoints/{task}"
+        limit = self._limits.get("maxFilesPerTrigger")
+        return self._silver[feed].follow(self._logged(task, work), checkpoint, trigger, limit)
 
     def _logged(self, task: str, work: Callable[[DataFrame, int], None]):
         """A foreachBatch function that skips empty batches and logs the others."""
@@ -226,6 +247,7 @@ class Warehouse:
         }
 
     def _refresh(self, feed: str, changes: DataFrame, task: str, batch_id: int) -> None:
+        changes = changes.where(F.col("_change") != BEFORE)
         if self.strict:  # corrections never reach gold
             changes = changes.where(F.col("_change") == INSERT)
         table = self._silver[feed]
@@ -274,7 +296,8 @@ class Warehouse:
         """
         path = f"{self.root}/checkpoints/{name}/stream-id"
         if not files.exists(self.spark, path):
-            files.write_text(self.spark, path, uuid.uuid4().hex[:12])
+            with suppress(FileExistsError):
+                files.write_text(self.spark, path, uuid.uuid4().hex[:12])
         return files.read_text(self.spark, path)
 
     def _start(self, rows: DataFrame, name: str, write, trigger: dict | None) -> StreamingQuery:

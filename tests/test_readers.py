@@ -9,7 +9,15 @@ from pyspark.sql import types as T
 
 from clientele.schemas import RAW
 from clientele.sources.audit import with_audit
-from clientele.sources.readers import append_raw, load_typed, read_feed, read_raw
+from clientele.sources.readers import (
+    append_drop,
+    append_raw,
+    load_typed,
+    probe_files,
+    read_drops,
+    read_feed,
+    read_raw,
+)
 
 WANTED = T.StructType(
     [
@@ -87,3 +95,33 @@ def test_missing_column_is_null(spark, tmp_path):
 def test_unknown_policy(dirty):
     with pytest.raises(ValueError, match="skip_row or skip_file"):
         load_typed(dirty.withColumn("_file", F.lit("")), WANTED, "ignore")
+
+
+def test_drops_keep_a_history_of_schemas(spark, tmp_path):
+    path = str(tmp_path / "drops")
+    append_drop(spark.sql("SELECT 'a' AS id, 1 AS n, date'2024-01-02' AS at"), path)
+    append_drop(spark.sql("SELECT 'b' AS id, 5000000000L AS n, timestamp_ntz'2024-01-03 04:00:00' AS at, 1.5F AS x"), path)
+    append_drop(spark.sql("SELECT 'c' AS id, 2.5D AS x"), path)
+    df = read_drops(spark, path)
+    assert dict(df.dtypes) == {"id": "string", "n": "bigint", "at": "timestamp_ntz", "x": "double", "_drop": "int"}
+    rows = {r.id: (r.n, r.at, r.x, r._drop) for r in df.collect()}
+    assert rows == {
+        "a": (1, datetime(2024, 1, 2), None, 0),
+        "b": (5_000_000_000, datetime(2024, 1, 3, 4), 1.5, 1),
+        "c": (None, None, 2.5, 2),
+    }
+    # one that was not written to its end is not read
+    spark.sql("SELECT 'd' AS id").write.parquet(f"{path}/drop-dead")
+    assert read_drops(spark, path).count() == 3
+    append_drop(spark.sql("SELECT 'e' AS id, 'many' AS n"), path)
+    with pytest.raises(ValueError, match="no type holds both"):
+        read_drops(spark, path)
+
+
+def test_probe_tells_why(spark, tmp_path):
+    spark.sql("SELECT 1 AS a, 'x' AS b").coalesce(1).write.parquet(f"{tmp_path}/x")
+    (tmp_path / "x/zero.parquet").write_bytes(b"PAR")
+    files = spark.read.format("binaryFile").load(f"{tmp_path}/x")
+    found = sorted(probe_files(files).collect(), key=lambda r: r.error or "")
+    assert (found[0].row_count, found[0].columns, found[0].error) == (1, "a int32, b string", None)
+    assert found[1].length == 3 and found[1].error

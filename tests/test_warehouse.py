@@ -232,3 +232,40 @@ def test_a_lost_checkpoint_loses_no_rows(spark, tmp_path, landing):
     drop(spark, f"{tmp_path}/landing", "customers", "b", [customer("c2")])
     wh.cycle(feeds, **FOLDERS)
     assert {r.customer_id for r in wh.gold().dim_customers.collect()} == {"C1", "C2"}
+
+
+def test_a_broken_file_is_set_aside_and_the_others_are_loaded(spark, tmp_path, landing):
+    wh = Warehouse(spark, f"{tmp_path}/wh", buckets=2)
+    folder = f"{tmp_path}/landing"
+    drop(spark, folder, "customers", "a", [customer(f"c{k}") for k in range(50)])
+    files.copy_start(spark, f"{folder}/customers/a", f"{folder}/customers/cut", 0.7)
+    (tmp_path / "landing/customers/junk").mkdir()
+    (tmp_path / "landing/customers/junk/x.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    # a damaged page behind a good footer
+    (whole,) = (tmp_path / "landing/customers/a").glob("*.parquet")
+    data = bytearray(whole.read_bytes())
+    data[60:90] = b"\xff" * 30
+    (tmp_path / "landing/customers/page").mkdir()
+    (tmp_path / "landing/customers/page/x.parquet").write_bytes(data)
+    wh.load("customers", landing["customers"], **FOLDERS).awaitTermination()
+    assert sorted(r.customer_id for r in wh.bronze("customers").collect()) == sorted(f"c{k}" for k in range(50))
+    broken = wh.rejects("quarantine", "customers").collect()
+    assert sorted(r.path.split("/")[-2] for r in broken) == ["cut", "junk", "page"] and all(r.error for r in broken)
+    # later files come in, the broken ones do not come again
+    drop(spark, folder, "customers", "b", [customer("late")])
+    wh.load("customers", landing["customers"], **FOLDERS).awaitTermination()
+    assert wh.bronze("customers").count() == 51 and wh.rejects("quarantine", "customers").count() == 3
+
+
+def test_types_may_widen_and_columns_come_and_go(spark, tmp_path, landing):
+    wh = Warehouse(spark, f"{tmp_path}/wh", buckets=2)
+    at = "timestamp_ntz'2024-01-05 10:00:00' AS interaction_date"
+    for name, columns in (
+        ("a", f"'s1' AS session_id, 'c' AS customer_id, 3 AS page_views, 10L AS session_duration, 'x' AS device, {at}"),
+        ("b", f"'s2' AS session_id, 'c' AS customer_id, 4L AS page_views, 10 AS session_duration, {at}, 1 AS extra"),
+        ("c", f"'s3' AS session_id, 'c' AS customer_id, 4.6BD AS page_views, 'y' AS device, {at}"),
+    ):
+        spark.range(1).selectExpr(*columns.split(", ")).coalesce(1).write.parquet(f"{landing['web']}/{name}")
+    wh.load("web", landing["web"], **FOLDERS).awaitTermination()
+    got = {r.session_id: (r.page_views, r.session_duration, r.device) for r in wh.bronze("web").collect()}
+    assert got == {"s1": (3, 10, "x"), "s2": (4, 10, None), "s3": (5, None, "y")}
