@@ -90,7 +90,10 @@ def mix_sources(
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     made = word_count(docs[text]) if size is None else F.coalesce(docs[size], F.lit(0)).cast("long")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(docs[doc_id].cast("string"), F.lit("null"))))
+    # rows without an id are spread by their text, so they do not meet in one bucket
+    content = F.md5(F.coalesce(docs[text].cast("string"), F.lit(""))) if text in docs.columns else F.lit("")
+    name = F.coalesce(docs[doc_id].cast("string"), F.concat(F.lit("null "), content))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), name))
     tie = F.xxhash64(docs[text]) if text in docs.columns else F.lit(0).cast("long")
     base = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),

@@ -352,6 +352,7 @@ def quality_classifier(
     )
     edges = edges.unionByName(few)
     edges = scratch.write(edges, "thresholds")
+    scratch.drop(trusted, learn, check, grams, contexts, measured)
     bits_of = F.col("step") / STEPS + math.log2(slack)
     names = ("n_bytes", "perplexity", "threshold", "kept")
     others = [c for c in docs.columns if c.lower() not in names]

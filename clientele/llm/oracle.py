@@ -87,7 +87,7 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.a
 OP3 = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-    md5('7:' || coalesce(doc_id::VARCHAR, 'null')) AS k
+    md5('7:' || coalesce(doc_id::VARCHAR, 'null ' || md5(coalesce(md5(text), '')))) AS k
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

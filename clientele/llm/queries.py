@@ -42,9 +42,9 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # words are counted once: the operator passes over the sizes several times
-    sizes = docs.select("doc_id", "source", word_count(docs.text).alias("words"))
+    sizes = docs.select("doc_id", "source", word_count(docs.text).alias("words"), F.md5("text").alias("mark"))
     sizes = Scratch(spark, "sizes").write(sizes, "words")
-    mixed = mix_sources(sizes, size="words", text="words")
+    mixed = mix_sources(sizes, size="words", text="mark")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 

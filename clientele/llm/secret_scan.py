@@ -299,19 +299,25 @@ def find_secrets(
     added = F.max(~F.col("segment")).over(W.partitionBy("rid", "kind", "owner"))
     spans = spans.withColumn("added", added).where(is_base | ~F.col("segment") | ~F.col("added"))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
-    one = F.struct("start", order.alias("order"), "kind", "end", "match")
+    one = F.struct("start", order.alias("order"), "kind", "end")
     spans = spans.groupBy("k1", "k2", "rid").agg(F.sort_array(F.collect_list(one)).alias("secrets"))
     # repeated rows have the same spans
     spans = spans.groupBy("k1", "k2").agg(F.min_by("secrets", "rid").alias("secrets"))
+    # only places stay behind: the secrets themselves are taken from the text again
     spans = scratch.write(spans, "spans")
+    scratch.drop(found, tokens)
     out = docs.select(
-        F.struct(*[docs[c] for c in others]).alias("row"), k1.alias("k1"), k2.alias("k2")
+        F.struct(*[docs[c] for c in others]).alias("row"), docs[text].alias("text"), k1.alias("k1"), k2.alias("k2")
     ).join(scratch.joinable(spans, broadcast_bytes), ["k1", "k2"], "left")
     none = F.array().cast(spans.schema["secrets"].dataType)
-    return out.select(
-        *[F.col("row").getField(c).alias(c) for c in others],
-        F.coalesce("secrets", none).alias("secrets"),
+    whole = F.transform(
+        F.coalesce("secrets", none),
+        lambda s: F.struct(
+            *[s[c].alias(c) for c in ("start", "order", "kind", "end")],
+            F.substring(F.col("text"), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")).alias("match"),
+        ),
     )
+    return out.select(*[F.col("row").getField(c).alias(c) for c in others], whole.alias("secrets"))
 
 
 def spans_text(spans: Column, kinds: tuple[str, ...] | None = None) -> Column:

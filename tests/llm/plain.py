@@ -143,8 +143,9 @@ def mix(docs, seed=7, epochs=2):
         rest, run = targets[s] - whole * sizes[s], 0
 
         def key(p):
-            i = docs[p][0]
-            return hashlib.md5(f"{seed}:{'null' if i is None else i}".encode()).hexdigest(), size[p]
+            i, _, text = docs[p]
+            name = "null " + hashlib.md5((text or "").encode()).hexdigest() if i is None else i
+            return hashlib.md5(f"{seed}:{name}".encode()).hexdigest(), size[p]
 
         for p in sorted(ps, key=key):
             more = size[p] > 0 and whole < epochs and 2 * run + size[p] <= 2 * rest

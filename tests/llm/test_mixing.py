@@ -41,6 +41,16 @@ def test_targets_are_met_and_capped(spark):
     assert found.taken.sum() == pytest.approx(1.5 * found["size"].sum(), rel=0.02)
 
 
+def test_rows_without_an_id_are_spread(spark):
+    """A third of all rows have no id: they are in an order of their own, in many buckets."""
+    rows = [(None if k % 3 else k, "a", f"w{k} " * (1 + k % 5)) for k in range(600)]
+    size, _, _, copies = plain.mix(rows)
+    found = mix_sources(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = sorted((t, copies[p]) for p, (_, _, t) in enumerate(rows))
+    assert sorted((r.text, r.copies) for r in found) == want
+    assert {c for (i, _, _), c in zip(rows, (copies[p] for p in range(600))) if i is None} == {1, 2}
+
+
 def test_reruns_agree(spark):
     docs = spark.createDataFrame(documents(), SCHEMA)
     one, other = (sorted(map(str, mix_sources(d).collect())) for d in (docs, docs.repartition(7)))

@@ -2,6 +2,7 @@
 
 import random
 import string
+from pathlib import Path
 
 import plain
 import pytest
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 
 from clientele.llm import pii, secret_scan
 from clientele.llm.queries import QUERIES
+from clientele.session import scratch_dir
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string"
@@ -223,3 +225,14 @@ def test_iban_before_other_words(iban, after):
 def test_context_after_a_span():
     assert [s.kind for s in pii.find_spans("078-05-1120 (SSN)")] == ["ssn"]
     assert [s.kind for s in pii.find_spans("555 123 4567 is the phone")] == ["local_phone"]
+
+
+def test_no_secret_stays_in_the_scratch_folder(spark):
+    key = token(random.Random(5), string.ascii_letters + string.digits, 40)
+    before = set(Path(scratch_dir(spark)).glob("secret-scan-*"))
+    docs = spark.createDataFrame([(1, f"password: {key} and {key[::-1]}")], SCHEMA)
+    (found,) = secret_scan.find_secrets(docs).collect()
+    assert [s.match for s in found.secrets] and all(s.match in found.text for s in found.secrets)
+    (mine,) = set(Path(scratch_dir(spark)).glob("secret-scan-*")) - before
+    assert [p.name.split("-")[0] for p in mine.iterdir()] == ["spans"]
+    assert "match" not in str(spark.read.parquet(*map(str, mine.iterdir())).schema)
