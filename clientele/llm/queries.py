@@ -16,7 +16,7 @@ from clientele.llm.ngram_join import ngram_jaccard_components
 from clientele.llm.ngram_quality import quality_classifier
 from clientele.llm.piece_codec import encode_pieces
 from clientele.llm.quality_rules import STATS, quality_rules
-from clientele.llm.scratch import Scratch
+from clientele.llm.scratch import Scratch, small_batches
 from clientele.llm.token_alignment import link_digest
 
 #: The vocabulary files of op4, op13 and the pipeline; read, never copied.
@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -15,6 +15,18 @@ from clientele.session import scratch_dir
 BROADCAST_BYTES = 16 << 20
 
 
+#: Bytes of an Arrow batch on its way to Python and back. Spark's own limit, 64 MB, is held several
+#: times by a task: in the JVM, in the worker, and in what the worker makes of it.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on batches that Python workers get are small, unless the session says how large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, BATCH_BYTES)
+
+
 class Scratch:
     """Tables of one run. `drop` removes those that no later step reads."""
 
