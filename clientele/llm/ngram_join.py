@@ -25,7 +25,7 @@ from clientele.llm.components import components
 from clientele.llm.scratch import BROADCAST_BYTES, Scratch
 
 #: Shingles of a task that are counted together to find those that repeat.
-TALLY = 4 << 20
+TALLY = 2 << 20
 #: At most so many shingles are put last in the order; a bound on what each task is sent.
 FREQUENT = 1 << 20
 #: And only such as repeat 2 to this power times.

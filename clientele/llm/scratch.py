@@ -17,7 +17,7 @@ BROADCAST_BYTES = 16 << 20
 
 #: Bytes of an Arrow batch on its way to Python and back. Spark's own limit, 64 MB, is held several
 #: times by a task: in the JVM, in the worker, and in what the worker makes of it.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def small_batches(spark: SparkSession) -> None:
