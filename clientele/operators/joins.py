@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SKETCH_ITEMS = 1024  # counters per sketch; a share above about 0.4 % is always seen
@@ -15,6 +15,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_threshold(spark: SparkSession) -> int:
+    """Bytes up to which Spark broadcasts a table by its estimate; -1 for never."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def hot_keys(rows: DataFrame, key: str) -> list:
     """Keys that hold a large share of the rows: at most MAX_HOT_KEYS values.
 

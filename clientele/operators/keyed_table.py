@@ -44,7 +44,8 @@ class Manifest:
 
     homes: by bucket the folder with its rows and the version that wrote it; deltas: change folders
     with their version and rows, oldest first, which count in the buckets whose home is older. changes:
-    the folder with what this version changed, if anything. applied: the last batch by writer.
+    the folder with what this version changed, if anything. applied: the last batch by writer. unique:
+    every upsert so far had one row of a key, so a change folder has one newest row of each.
     """
 
     version: int = 0
@@ -55,6 +56,7 @@ class Manifest:
     deltas: list[tuple[str, int, int]] = field(default_factory=list)
     changes: str | None = None
     applied: dict[str, int] = field(default_factory=dict)
+    unique: bool = True
 
     @property
     def has_rows(self) -> bool:
@@ -71,6 +73,7 @@ class Manifest:
         raw = json.loads(text)
         raw["homes"] = {int(k): tuple(v) for k, v in raw["homes"].items()}
         raw["deltas"] = [tuple(d) for d in raw["deltas"]]
+        raw.setdefault("unique", False)  # an older version does not tell
         return Manifest(**raw)
 
 
@@ -160,13 +163,15 @@ class KeyedTable:
         base = reader.parquet(*folders) if folders else empty_table(self.spark, self.spec)
         if not manifest.deltas:
             return base
-        newest = self._newest(manifest, only)
+        changed = self._later(manifest, only)
         # few rows against many: which side is sent is chosen by their sizes
-        old = base.join(newest.select(self.spec.key), self.spec.key, "left_anti")
-        return old.select(self.spec.schema.names).unionByName(newest)
+        old = base.join(changed.select(self.spec.key), self.spec.key, "left_anti")
+        if len(manifest.deltas) > 1 or not manifest.unique:
+            changed = newest_per_key(changed, self.spec.key, "_version")
+        return old.select(self.spec.schema.names).unionByName(changed.select(self.spec.schema.names))
 
-    def _newest(self, manifest: Manifest, only: set[int] | None) -> DataFrame:
-        """The newest change of each key, of those that are newer than the home of their bucket."""
+    def _later(self, manifest: Manifest, only: set[int] | None) -> DataFrame:
+        """Rows of the changes that are newer than the home of their bucket, with their _version."""
         rows = self._changes_in([folder for folder, _, _ in manifest.deltas])
         rows = rows.where(F.col("_change") != BEFORE).drop("_change")
         bucket = bucket_of(F.col(self.spec.key), manifest.buckets)
@@ -176,7 +181,7 @@ class KeyedTable:
             table = self.spark.createDataFrame(homes, "_bucket int, _home long")
             rows = rows.withColumn("_bucket", bucket).join(F.broadcast(table), "_bucket")
             rows = rows.where("_version > _home").drop("_bucket", "_home")
-        return newest_per_key(rows, self.spec.key, "_version").select(self.spec.schema.names)
+        return rows
 
     def _changes_in(self, folders: list[str]) -> DataFrame:
         """Rows of change folders, or of homes that a first load wrote, with _change and _version."""
@@ -259,14 +264,17 @@ class KeyedTable:
         batch: int | None = None,
         as_of: datetime | None = None,
         order: str = "ingested_at",
+        add: tuple[str, ...] = (),
     ) -> int | None:
         """Merge `source` into the table; returns the version that has it, None for a batch seen before.
 
         `source` may hold several rows of a key; the newest by `order` counts. It is computed once, into
-        a folder of its own.
+        a folder of its own. Columns in `add` hold what is added to the values of a row that is there; such
+        a source has one row of a key.
         """
         if batch is not None and self.manifest().applied.get(writer, -1) >= batch:
             return None
+        unique = order in source.columns or bool(add)
         if order in source.columns:
             source = newest_per_key(source, self.spec.key, order)
         staged = f"{self.path}/staging/{uuid.uuid4().hex}"
@@ -277,7 +285,7 @@ class KeyedTable:
                 manifest = self.manifest()
                 if batch is not None and manifest.applied.get(writer, -1) >= batch:
                     return None
-                done = self._try(manifest, rows, writer, batch, as_of)
+                done = self._try(manifest, rows, writer, batch, as_of, add, unique)
                 if done is not None:
                     break
         finally:
@@ -285,7 +293,7 @@ class KeyedTable:
         self._keep_in_shape(done)
         return done.version
 
-    def _try(self, manifest, source, writer, batch, as_of) -> Manifest | None:
+    def _try(self, manifest, source, writer, batch, as_of, add, unique) -> Manifest | None:
         """One upsert on top of a version; None if another one was published meanwhile."""
         version = manifest.version + 1
         folder = self._folder(version)
@@ -293,7 +301,7 @@ class KeyedTable:
         prune = manifest.has_rows and manifest.buckets > FEW_BUCKETS
         touched = self._buckets_of(source, manifest.buckets) if prune else None
         target = self._read(manifest, touched) if manifest.has_rows else empty_table(self.spark, self.spec)
-        rows = changed_rows(target, source, self.spec, manifest.buckets, manifest.last_key, as_of)
+        rows = changed_rows(target, source, self.spec, manifest.buckets, manifest.last_key, as_of, add)
         homes, deltas = dict(manifest.homes), list(manifest.deltas)
         applied = dict(manifest.applied)
         if batch is not None:
@@ -315,7 +323,8 @@ class KeyedTable:
                 return manifest
         last_key = max(manifest.last_key, written["last_key"] or 0)
         rows_now = manifest.rows + written["inserts"]
-        done = Manifest(version, manifest.buckets, rows_now, last_key, homes, deltas, changes, applied)
+        unique = unique and manifest.unique
+        done = Manifest(version, manifest.buckets, rows_now, last_key, homes, deltas, changes, applied, unique)
         if self._publish(done):
             return done
         if changes:
@@ -334,7 +343,8 @@ class KeyedTable:
 
     def _write_homes(self, rows: DataFrame, folder: str, buckets: int) -> None:
         placed = rows.withColumn("_bucket", bucket_of(F.col(self.spec.key), buckets))
-        placed.repartition("_bucket").write.partitionBy("_bucket").parquet(self._data(folder))
+        # a large bucket is split into several tasks and files
+        placed.hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(self._data(folder))
 
     def _homes_in(self, folder: str, version: int) -> dict[int, tuple[str, int]]:
         found = [n for n in files.names(self.spark, self._data(folder)) if n.startswith("_bucket=")]
@@ -387,7 +397,15 @@ class KeyedTable:
         homes |= {b: ("", version) for b in range(buckets) if parent_of(b, manifest.buckets) in chosen}
         homes |= self._homes_in(folder, version)
         done = Manifest(
-            version, buckets, manifest.rows, manifest.last_key, homes, manifest.deltas, None, manifest.applied
+            version,
+            buckets,
+            manifest.rows,
+            manifest.last_key,
+            homes,
+            manifest.deltas,
+            None,
+            manifest.applied,
+            manifest.unique,
         )
         oldest = min(done.home_version(b) for b in range(buckets))
         done.deltas = [d for d in manifest.deltas if d[1] > oldest]

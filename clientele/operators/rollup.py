@@ -83,7 +83,7 @@ class Rollup:
             F.sum(sign).alias("row_count"),
             *[F.sum(x).cast("decimal(38,6)").alias(f"sum_{c}") for x, c in zip(sums, self._sums, strict=True)],
         )
-        self._merge(self._values, added, columns, self._measures(), batch)
+        self._values.upsert(added, SOURCE, batch, add=tuple(self._measures()))
 
     def _add_up(self, changes: DataFrame, batch: int) -> None:
         """Images of group and value to groups: a value counts while it has rows."""
@@ -94,15 +94,4 @@ class Rollup:
             F.sum(there).alias("distinct_count"),
             *[F.sum(F.col(f"sum_{c}") * sign).cast("decimal(38,6)").alias(f"sum_{c}") for c in self._sums],
         )
-        self._merge(self._groups, added, self._group, [*self._measures(), "distinct_count"], batch)
-
-    @staticmethod
-    def _merge(table: KeyedTable, added: DataFrame, columns, measures, batch: int) -> None:
-        """Old values plus what is added; the table knows from then on that it has the batch."""
-        old = table.read_keys(added).select("_group", F.struct(measures).alias("old"))
-        total = {m: F.coalesce(F.col(f"old.{m}"), F.lit(0)) + F.col(m) for m in measures}
-        types = {f.name: f.dataType for f in table.spec.columns.fields}
-        merged = added.join(old, "_group", "left").select(
-            "_group", *columns, *[total[m].cast(types[m]).alias(m) for m in measures]
-        )
-        table.upsert(merged, SOURCE, batch)
+        self._groups.upsert(added, SOURCE, batch, add=(*self._measures(), "distinct_count"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele import schemas
+from clientele.operators.joins import broadcast_threshold, estimated_bytes
 from clientele.operators.surrogate import bucket_of, key_in_bucket
 from clientele.sources.audit import stamp
 
@@ -106,7 +107,7 @@ def merge_rows(
         .agg(F.first("t", ignorenulls=True).alias("t"), F.first("s", ignorenulls=True).alias("s"))
     )
     is_new, has_source = F.col("t").isNull(), F.col("s").isNotNull()
-    written = has_source & (is_new | _differs(spec, names))
+    written = has_source & (is_new | _differs(spec, {c: F.col(f"s.{c}") for c in names}))
     now = stamp(as_of)
     values = {c: F.when(written, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in names}
     values[spec.key] = F.col("_key")
@@ -131,50 +132,67 @@ def merge_rows(
     )
 
 
-def _differs(spec: TableSpec, names: list[str]) -> Column:
+def _differs(spec: TableSpec, values: dict[str, Column]) -> Column:
     if spec.when_changed is None:
         return F.lit(True)
-    pairs = [(F.col(f"t.{c}"), F.col(f"s.{c}")) for c in spec.when_changed if c in names]
+    pairs = [(F.col(f"t.{c}"), values[c]) for c in spec.when_changed if c in values]
     return reduce(or_, [~a.eqNullSafe(b) for a, b in pairs], F.lit(False))
 
 
 def changed_rows(
-    target: DataFrame, source: DataFrame, spec: TableSpec, buckets: int, last_key: int, as_of: datetime | None
+    target: DataFrame,
+    source: DataFrame,
+    spec: TableSpec,
+    buckets: int,
+    last_key: int,
+    as_of: datetime | None,
+    add: tuple[str, ...] = (),
 ) -> DataFrame:
     """What an upsert of `source` changes in `target`: the rows it writes, with `_change`.
 
     Both have one row per key; `target` may be any part of the table that has the source's keys.
     `_change` is 'insert', 'update_preimage' (the row as it was) or 'update_postimage'. The target is
-    read through a semi join, so a source below the broadcast threshold shuffles no table row. New
-    surrogates are above `last_key`: each bucket draws from an arithmetic sequence of its own.
+    read through a semi join with a source below the broadcast threshold, which then shuffles no table
+    row; a larger source meets the table once, in one shuffle. New surrogates are above `last_key`: each
+    bucket draws from an arithmetic sequence of its own. Columns in `add` are added to the row's values.
     """
     names = [c for c in spec.columns.fieldNames() if c in source.columns]
     kept = [c for c in spec.schema.fieldNames() if c in names or c not in spec.columns.names]
     extra = [spec.created_from] if spec.created_from else []
     s = source.select(F.col(spec.key).alias("_key"), F.struct(names + extra).alias("s"))
-    found = target.join(source.select(spec.key), spec.key, "left_semi")
-    t = found.select(F.col(spec.key).alias("_key"), F.struct(kept).alias("t"))
+    if estimated_bytes(source.select(spec.key)) <= broadcast_threshold(source.sparkSession):
+        target = target.join(source.select(spec.key), spec.key, "left_semi")
+    t = target.select(F.col(spec.key).alias("_key"), F.struct(kept).alias("t"))
     both = s.join(t, "_key", "left")
     now = stamp(as_of)
-    new, old = both.where("t is null"), both.where("t is not null").where(_differs(spec, names))
     values = {c: F.col(f"s.{c}") for c in names}
     born = dict(values)
-    if spec.surrogate:
-        new = new.withColumn("_bucket", bucket_of(F.col("_key"), buckets))
-        rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_key"))
-        values[spec.surrogate] = F.col(f"t.{spec.surrogate}")
-        born[spec.surrogate] = F.lit(last_key) + key_in_bucket(rank, F.col("_bucket"), buckets).cast("long")
+    for c in add:
+        kind = spec.columns[c].dataType
+        values[c] = (F.coalesce(F.col(f"t.{c}"), F.lit(0)) + F.col(f"s.{c}")).cast(kind)
+        born[c] = F.col(f"s.{c}").cast(kind)
+    differs = _differs(spec, values)
     if spec.stamps:
         created, updated = spec.stamps
         values |= {created: F.col(f"t.{created}"), updated: now}
         born |= {created: F.col(f"s.{spec.created_from}") if spec.created_from else now, updated: now}
-    inserts = new.select(F.lit(INSERT).alias("_change"), *[born[c].alias(c) for c in kept])
+
+    def image(change: str, of: dict[str, Column]) -> Column:
+        return F.struct(F.lit(change).alias("_change"), *[of[c].alias(c) for c in kept])
+
     # one pass over the matches gives both images
-    images = F.array(
-        F.struct(F.lit(BEFORE).alias("_change"), *[F.col(f"t.{c}").alias(c) for c in kept]),
-        F.struct(F.lit(UPDATE).alias("_change"), *[values[c].alias(c) for c in kept]),
-    )
-    return inserts.unionByName(old.select(F.inline(images)))
+    before = image(BEFORE, {c: F.col(f"t.{c}") for c in kept})
+    if not spec.surrogate:
+        inserts = F.array(image(INSERT, born))
+        images = F.when(differs, F.array(before, image(UPDATE, values)))
+        return both.select(F.inline(F.when(F.col("t").isNull(), inserts).otherwise(images)))
+    new, old = both.where("t is null"), both.where("t is not null").where(differs)
+    new = new.withColumn("_bucket", bucket_of(F.col("_key"), buckets))
+    rank = F.row_number().over(W.partitionBy("_bucket").orderBy("_key"))
+    values[spec.surrogate] = F.col(f"t.{spec.surrogate}")
+    born[spec.surrogate] = F.lit(last_key) + key_in_bucket(rank, F.col("_bucket"), buckets).cast("long")
+    inserts = new.select(F.lit(INSERT).alias("_change"), *[born[c].alias(c) for c in kept])
+    return inserts.unionByName(old.select(F.inline(F.array(before, image(UPDATE, values)))))
 
 
 def buckets_for(size: int, per_bucket: int = 512 << 20) -> int:

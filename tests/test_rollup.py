@@ -89,3 +89,32 @@ def test_a_refresh_that_is_broken_off_counts_nothing_twice(spark, tmp_path, monk
     table.expire(keep=1)
     with pytest.raises(LookupError, match="has expired"):
         rollup.refresh()
+
+
+def test_values_are_added_in_one_merge(spark, tmp_path):
+    """What is added is computed once, and a single change folder is read without an aggregation."""
+    table = KeyedTable(spark, f"{tmp_path}/t", SPEC, 2)
+    computed = spark.sparkContext.accumulator(0)
+
+    def put(batch, *rows):
+        def count(frames):
+            for frame in frames:
+                computed.add(len(frame))
+                yield frame
+
+        df = spark.createDataFrame(rows, "id string, team string, city string, amount double")
+        df = df.mapInPandas(count, df.schema).withColumn("amount", F.col("amount").cast("decimal(10,2)"))
+        table.upsert(df, "w", batch, add=("amount",))
+
+    put(1, ("1", "a", "x", 1.0), ("2", "a", "y", 2.5))
+    put(2, ("1", "b", "x", 2.0), ("2", "a", "y", 0.0), ("3", "a", None, 4.0))
+    assert computed.value == 5
+    found = table.read()
+    assert sorted((r.id, r.team, float(r.amount)) for r in found.collect()) == [
+        ("1", "b", 3.0), ("2", "a", 2.5), ("3", "a", 4.0)
+    ]
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    kinds = table.changes(1, 2).select("_change", "id").collect()
+    assert sorted(map(tuple, kinds)) == [("insert", "3"), ("update_postimage", "1"), ("update_preimage", "1")]
+    table.upsert(spark.createDataFrame([("3", "c")], "id string, team string"), "w", 3)
+    assert not table.manifest().unique and table.read().count() == 3
