@@ -1,6 +1,5 @@
 """Near duplicates among embeddings by sorted passes over concatenated random hashes."""
 
-import math
 import warnings
 from collections.abc import Iterator
 
@@ -11,7 +10,18 @@ from pyspark.sql import functions as F
 
 from clientele.llm.components import components
 from clientele.llm.scratch import BROADCAST_BYTES, Scratch
-from clientele.llm.sorted_hashes import SAMPLE_ROWS, SAMPLE_VALUES, Hashes, fit, joined
+from clientele.llm.sorted_hashes import (
+    BITS,
+    LEAST,
+    MOST_LEAVES,
+    MOST_PASSES,
+    TRIALS,
+    Growth,
+    Hashes,
+    directions,
+    partners,
+    passes_for,
+)
 from clientele.operators.surrogate import dense_sk
 
 #: Rows of a block in the neighbour search and in the counting of links.
@@ -110,33 +120,127 @@ def _count_job(threshold: float):
     return job
 
 
+def _parts(batches: Iterator[pa.RecordBatch], hashes: Hashes):
+    """Unit vectors of one length, and the rows of each tree among them."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, BLOCK):
+            batch = whole.slice(at, BLOCK)
+            vectors, sizes = matrix(batch.column("v"))
+            labels = np.asarray(batch.column("label"))
+            for n in np.unique(sizes):
+                own = np.flatnonzero(sizes == n)
+                yield vectors[own, :n], hashes.groups(int(n), labels[own])
+
+
+def _sums_job(state):
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows, and sums of their projections, by tree and node of the tree's last level."""
+        hashes, numbers, start = state.value
+        place = {group: k for k, group in enumerate(hashes.trees)}
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for vectors, groups in _parts(batches, hashes):
+            for p, number in enumerate(numbers):
+                todo = [(g, rows) for g, rows in groups if start[g][p] < len(hashes.trees[g][p].below)]
+                if not todo:
+                    continue
+                projected = (vectors @ directions(hashes.seed, number, vectors.shape[1]).T).astype(np.float32)
+                for g, rows in todo:
+                    tree, first = hashes.trees[g][p], start[g][p]
+                    node = tree.leaves(projected[rows]) - first
+                    live = node >= 0
+                    total = sums.setdefault((place[g], p), np.zeros((len(tree.below) - first, BITS + 1)))
+                    np.add.at(total[:, 1:], node[live], projected[rows[live]])
+                    total[:, 0] += np.bincount(node[live], minlength=len(total))
+        for (k, p), total in sums.items():
+            nodes = np.flatnonzero(total[:, 0])
+            columns = [
+                pa.array(np.full(len(nodes), k, np.int32)),
+                pa.array(np.full(len(nodes), p, np.int32)),
+                pa.array((nodes + start[list(place)[k]][p]).astype(np.int32)),
+                *[pa.array(total[nodes, c]) for c in range(BITS + 1)],
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "pass", "node", *SUMS])
+
+    return job
+
+
+def _hits_job(state):
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by the number of passes in which a partner at the threshold comes within the window."""
+        hashes, window, threshold = state.value
+        found = np.zeros(hashes.passes + 1, dtype=np.int64)
+        for vectors, groups in _parts(batches, hashes):
+            other = partners(vectors, threshold, hashes.seed)
+            hits = np.zeros(len(vectors), dtype=np.int64)
+            for number in range(hashes.passes):
+                planes = directions(hashes.seed, number, vectors.shape[1]).T
+                mine, theirs = (vectors @ planes).astype(np.float32), (other @ planes).astype(np.float32)
+                for g, rows in groups:
+                    tree = hashes.trees[g][number]
+                    hits[rows] += np.abs(tree.places(mine[rows]) - tree.places(theirs[rows])) <= window
+            for _, rows in groups:
+                found += np.bincount(hits[rows], minlength=len(found))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(found))), pa.array(found)], ["hits", "n"])
+
+    return job
+
+
+#: Columns of a node's rows and of the sums of their projections.
+SUMS = [f"s{c}" for c in range(BITS + 1)]
+
+
+def grown(reps: DataFrame, groups: list, numbers: list[int], least: float, seed: int) -> dict:
+    """Trees of some passes from all rows, one job for each level; sums of the nodes reach the driver."""
+    growing = {g: [Growth() for _ in numbers] for g in groups}
+    fields = "part int, pass int, node int, " + ", ".join(f"{c} double" for c in SUMS)
+    while any(not one.done() for own in growing.values() for one in own):
+        trees = {g: [one.tree() for one in own] for g, own in growing.items()}
+        start = {g: [one.start for one in own] for g, own in growing.items()}
+        state = reps.sparkSession.sparkContext.broadcast((Hashes(seed, len(numbers), trees), numbers, start))
+        rows = reps.select("label", "v").mapInArrow(_sums_job(state), fields)
+        rows = rows.groupBy("part", "pass", "node").agg(*[F.sum(c).alias(c) for c in SUMS]).toArrow()
+        found: dict[tuple[int, int], dict] = {}
+        keys = [rows.column(c).to_pylist() for c in ("part", "pass", "node")]
+        sums = np.stack([rows.column(c).to_numpy() for c in SUMS], axis=1)
+        for k, p, node, own in zip(*keys, sums):
+            found.setdefault((k, p), {})[node] = (own[0], own[1:])
+        for k, g in enumerate(growing):
+            for p, one in enumerate(growing[g]):
+                if not one.done():
+                    one.take(found.get((k, p), {}), least)
+        state.unpersist()
+    return {g: [one.tree() for one in own] for g, own in growing.items()}
+
+
 def fitted_hashes(reps: DataFrame, window: int, threshold: float, missed: float, seed: int):
-    """Hashes fitted on a sample of the vectors, of at most SAMPLE_ROWS rows and SAMPLE_VALUES numbers.
+    """Hashes fitted on all vectors: every cut and count, and the number of passes, comes from all rows.
 
-    Rows of each length and label are counted over all rows; counts of those in the sample reach the
-    driver, so no more than the sample has rows.
+    A label with enough rows for a split has trees of its own, the others of a length have common ones, so
+    at most MOST_LEAVES groups reach the driver, and at most as many nodes of a pass and level.
     """
     reps = reps.withColumn("dim", F.size("v"))
-    total = reps.agg(F.count("*"), F.sum(F.col("dim").cast("long"))).first()
-    if not total[0]:
+    total = reps.count()
+    if not total:
         return Hashes(seed, 1, {})
-    wanted = min(SAMPLE_ROWS, max(1, SAMPLE_VALUES * total[0] // max(total[1], 1)))
-    share = min(1.0, wanted / total[0])
-    drawn = F.pmod(F.xxhash64(F.lit(seed), "rep"), F.lit(1 << 20)) < int(math.ceil(share * (1 << 20)))
-    sample = reps.where(drawn).limit(2 * wanted).select("label", "dim", "v").toPandas()
-    seen = reps.sparkSession.createDataFrame(
-        sample[["dim", "label"]].drop_duplicates().values.tolist(), "dim int, label long"
-    )
-    counted = reps.groupBy("dim", "label").agg(F.count("*").alias("n")).join(F.broadcast(seen), ["dim", "label"])
-    rows_of = {(r["dim"], r["label"]): float(r["n"]) for r in counted.collect()}
-    parts = []
-    for _, own in sample.groupby("dim"):
-        vectors, _ = matrix(pa.array(own["v"].tolist(), pa.list_(pa.float64())))
-        fitted, left = fit(vectors, own["label"].to_numpy(), rows_of, window, threshold, missed, seed)
-        parts.append(fitted)
-        if left > LOW_RECALL:
-            warnings.warn(f"about {left:.0%} of pairs at the threshold may be missed", stacklevel=3)
-    return joined(parts, seed)
+    least = max(LEAST, total / MOST_LEAVES)
+    counted = reps.groupBy("dim", "label").agg(F.count("*").alias("n"))
+    groups = [(r["dim"], r["label"]) for r in counted.where(F.col("n") >= 2 * least).collect()]
+    rest = counted.where(F.col("n") < 2 * least).groupBy("dim").agg(F.sum("n").alias("n"))
+    groups += [(r["dim"], None) for r in rest.where(F.col("n") >= 2 * least).collect()]
+    if not groups:  # signs alone; labels are small, or there are more lengths than trees
+        return Hashes(seed, TRIALS if least == LEAST else MOST_PASSES, {})
+    trees = grown(reps, groups, list(range(TRIALS)), least, seed)
+    state = reps.sparkSession.sparkContext.broadcast((Hashes(seed, TRIALS, trees), window, threshold))
+    hits = reps.select("label", "v").mapInArrow(_hits_job(state), "hits long, n long")
+    hits = hits.groupBy("hits").agg(F.sum("n").alias("n")).collect()
+    shares = np.array([r["hits"] / TRIALS for r in hits])
+    passes, left = passes_for(shares, np.array([float(r["n"]) for r in hits]), missed)
+    if left > LOW_RECALL:
+        warnings.warn(f"about {left:.0%} of pairs at the threshold may be missed", stacklevel=3)
+    if passes > TRIALS:
+        more = grown(reps, groups, list(range(TRIALS, passes)), least, seed)
+        trees = {g: own + more[g] for g, own in trees.items()}
+    return Hashes(seed, passes, {g: own[:passes] for g, own in trees.items()})
 
 
 def embedding_dedup(
@@ -155,10 +259,10 @@ def embedding_dedup(
     Equal vectors of a label are taken together first. In each pass the vectors are put in
     lexicographic order of concatenated random hashes, and each is compared with the others of its
     block of the order, in double precision; pairs with cosine >= `threshold` are links. Blocks overlap
-    by `window` rows, so every neighbour within a window is met. The hashes are cut where a sample of
-    the vectors lies (`sorted_hashes`), so vectors that share a direction do not stay together. The
-    number of passes is the least with which pairs at the threshold are missed with a share of
-    `missed`, as estimated on the sample for the rows at hand; a warning tells where the most passes are
+    by `window` rows, so every neighbour within a window is met. The hashes are cut where the vectors lie
+    (`sorted_hashes`), by sums over all of them, so vectors that share a direction do not stay together.
+    The number of passes is the least with which pairs at the threshold are missed with a share of
+    `missed`, as estimated with a partner of each row among the counts of all rows; a warning tells where the most passes are
     not enough for LOW_RECALL. Links of all passes are united to components. As blocks see only part of
     a large group's links, the links within each component are then counted exactly, in pairs of
     blocks, of which only the counts come out.

@@ -1,9 +1,11 @@
 """Sort keys of vectors: concatenated bits of random projections, each cut where the rows at hand lie.
 
 A bit says on which side of a cut a vector's projection on a random direction lies. Signs alone would
-leave vectors that share a direction in one long run of equal bits. So the cuts are fitted on a bounded
-sample of the vectors: the first bits form a tree, in which each cut is the median of the sample's rows
-that share the bits before; the later bits are signs about the mean of the sample's rows at the leaf.
+leave vectors that share a direction in one long run of equal bits. So the cuts are fitted on the rows:
+the first bits form a tree, in which each cut lies in the middle of the rows that share the bits before;
+the later bits are signs about the mean of the rows at the leaf. `Growth` makes a tree level by level from
+sums over all rows of a table, which Spark adds up, with means as cuts; `fit` makes trees with medians from
+rows in memory.
 """
 
 from dataclasses import dataclass
@@ -12,10 +14,10 @@ import numpy as np
 
 #: Bits of a key.
 BITS = 48
-#: Rows of the sample at most, and numbers in them.
-SAMPLE_ROWS, SAMPLE_VALUES = 20_000, 4_000_000
-#: Rows of the sample that a cut is fitted on at least.
+#: Rows that a cut is fitted on at least.
 LEAST = 24
+#: A leaf has at least one of so many parts of all rows, which bounds the trees, not the rows they are made of.
+MOST_LEAVES = 800
 #: Passes of random directions with which hits are estimated, and passes at most.
 TRIALS, MOST_PASSES = 8, 96
 
@@ -28,10 +30,14 @@ def directions(seed: int, number: int, size: int) -> np.ndarray:
 class Tree:
     """The cuts of one pass. Node 0 is the root; `below[n]` is the node for bit 0, the next one for bit 1,
     or 0 at a leaf. `cuts[n, k]`: where bit k of node n is cut; a node within the tree has its own bit
-    only, a leaf all later ones."""
+    only, a leaf all later ones. rows, first, depth, if known: by leaf its rows, those before it, and its
+    bits."""
 
     below: np.ndarray
     cuts: np.ndarray
+    rows: np.ndarray | None = None
+    first: np.ndarray | None = None
+    depth: np.ndarray | None = None
 
     @staticmethod
     def fit(projected: np.ndarray) -> "Tree":
@@ -73,15 +79,80 @@ class Tree:
             node = np.where(below > 0, below + bit, node)
         return out
 
+    def leaves(self, projected: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(projected), dtype=np.int32)
+        for k in range(BITS):
+            below = self.below[node]
+            if not below.any():
+                break
+            node = np.where(below > 0, below + (projected[:, k] > self.cuts[node, k]), node)
+        return node
+
+    def places(self, projected: np.ndarray) -> np.ndarray:
+        """Places in the order of keys: the rows before the leaf are counted, each later bit halves the leaf's."""
+        node = self.leaves(projected)
+        free = BITS - self.depth[node].astype(np.int64)
+        within = (self.keys(projected) & ((1 << free) - 1)) / 2.0**free
+        return self.first[node] + self.rows[node] * within
+
+
+class Growth:
+    """A tree on its way, level by level. `start`: the first node of the last level, whose rows are asked for."""
+
+    def __init__(self):
+        self.start = 0
+        self._below, self._depth, self._rows, self._path, self._above = [0], [0], [0.0], [0], [-1]
+        self._cuts = [np.zeros(BITS)]
+
+    def done(self) -> bool:
+        return self.start >= len(self._below)
+
+    def take(self, found: dict[int, tuple[float, np.ndarray]], least: float) -> None:
+        """found: rows, and sums of their projections, by node of the last level; empty nodes are absent."""
+        for node in range(self.start, len(self._below)):
+            n, sums = found.get(node, (0.0, None))
+            self._rows[node] = n
+            if n:
+                self._cuts[node] = sums / n
+            above = self._above[node]
+            parted = above < 0 or n < self._rows[above]  # else rows that nothing parts
+            if self._depth[node] < BITS and n >= 2 * least and parted:
+                self._below[node] = len(self._below)
+                for bit in (0, 1):
+                    self._below.append(0)
+                    self._depth.append(self._depth[node] + 1)
+                    self._rows.append(0.0)
+                    self._path.append(2 * self._path[node] + bit)
+                    self._above.append(node)
+                    self._cuts.append(self._cuts[node])
+            self._last = node
+        self.start = self._last + 1
+
+    def tree(self) -> Tree:
+        below, depth = np.array(self._below, dtype=np.int32), np.array(self._depth)
+        rows = np.where(below > 0, 0.0, self._rows)
+        order = sorted(range(len(below)), key=lambda n: (self._path[n] << (BITS - self._depth[n]), depth[n]))
+        first = np.empty(len(below))
+        first[order] = np.cumsum(rows[order]) - rows[order]
+        return Tree(below, np.array(self._cuts, dtype=np.float32), rows, first, depth)
+
 
 @dataclass
 class Hashes:
-    """Trees by length of vector, label and pass; a label with few rows in the sample has the common ones."""
+    """Trees by length of vector, label and pass; labels with few rows have common ones."""
 
     seed: int
     passes: int
     trees: dict[tuple[int, int | None], list[Tree]]
 
+    def groups(self, size: int, labels: np.ndarray) -> list[tuple[tuple[int, int | None], np.ndarray]]:
+        """The rows of each tree, for vectors of one length; rows without a tree are left out."""
+        own = np.array([(size, int(label)) in self.trees for label in labels], dtype=bool)
+        out = [((size, int(n)), np.flatnonzero(labels == n)) for n in np.unique(labels[own])]
+        if (size, None) in self.trees and not own.all():
+            out.append(((size, None), np.flatnonzero(~own)))
+        return out
+
     def keys(self, vectors: np.ndarray, labels: np.ndarray, number: int) -> np.ndarray:
         """Keys of unit vectors of one length in a pass."""
         size = vectors.shape[1]

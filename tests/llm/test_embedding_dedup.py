@@ -148,3 +148,16 @@ def test_passes_grow_with_rows():
         for n in (len(x), 10**8)
     )
     assert 1 <= few < many <= sorted_hashes.MOST_PASSES
+
+
+def test_hashes_come_from_all_rows(spark, monkeypatch):
+    """Rows before a leaf and in it add up to the whole table, and the hashes find the pairs in a cone."""
+    rng = np.random.default_rng(5)
+    x = cone(rng, 3000, 0.9, 200)
+    rows = [(k, v.tolist(), 0) for k, v in enumerate(x)]
+    reps = spark.createDataFrame(rows, "rep long, v array<double>, label long")
+    hashes = ed.fitted_hashes(reps, 64, 0.98, 0.01, 3)
+    for tree in hashes.trees[64, 0]:
+        assert tree.rows.sum() == len(x) and len(tree.below) > 2 * 50
+    pairs, recall = met(hashes, x, 64)
+    assert pairs >= 200 and recall >= 0.97
